@@ -1,0 +1,84 @@
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridscan.llm import fingerprint, queries
+
+from .conftest import SCHEMA, SF
+
+
+def shingles(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def jaccard(a, b):
+    a, b = shingles(a), shingles(b)
+    return 1.0 if not a and not b else len(a & b) / len(a | b)
+
+
+def check(rows, docs):
+    docs = sorted(((k, t or "") for k, t, *_ in docs), key=lambda d: d[0])
+    got = {r.doc_id: r for r in rows}
+    assert len(rows) == len(docs)
+    off, prints = [], {}
+    for i, (k, t) in enumerate(docs):
+        follow = docs[(i + 1) % len(docs)][1]
+        cut = len(t) // 4
+        edited = t[: len(t) - cut] + follow[:cut]
+        r = got[k]
+        assert r.n_chars == len(t) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert prints.setdefault(t, r.fingerprint) == r.fingerprint and len(r.fingerprint) in (0, 256)
+        for near, other in ((r.near_edited, edited), (r.near_next, follow)):
+            assert 0 <= near <= 1
+            off.append(near - jaccard(t, other))
+            if t == other:
+                assert near == 1
+    assert max(map(abs, off)) < 0.25 and abs(sum(off)) / len(off) < 0.02
+    assert (sum(x * x for x in off) / len(off)) ** 0.5 < 0.05
+
+
+def test_query(spark, small_docs):
+    check(queries.QUERIES["op8_fingerprints"](spark, SF).collect(), small_docs)
+
+
+def test_odd_texts(odd_frame, odd_docs, empty_frame):
+    rows = fingerprint.fingerprint_report(odd_frame).collect()
+    docs = sorted(odd_docs)
+    assert len(rows) == len(docs)
+    got = {r.doc_id: r for r in rows}
+    for i, d in enumerate(docs):
+        t, follow = d[1] or "", docs[(i + 1) % len(docs)][1] or ""
+        cut = len(t) // 4
+        assert got[d[0]].edited_sha256 == hashlib.sha256((t[: len(t) - cut] + follow[:cut]).encode()).hexdigest()
+        assert abs(got[d[0]].near_next - jaccard(t, follow)) < 0.3
+    assert fingerprint.fingerprint_report(empty_frame).count() == 0
+
+
+@pytest.mark.parametrize("buckets", [1, 2, 5, 40])
+def test_next_row_over_ranges(spark, buckets):
+    rows = [(None, "n1", "", "", 0, 0, ""), (None, "n0", "", "", 0, 0, "")] + [(i // 2, f"t{i:03d}", "", "", 0, 0, "") for i in range(5, 60)]
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    want = {r[1]: order[(i + 1) % len(order)][1] for i, r in enumerate(order)}
+    out = fingerprint.with_next(spark.createDataFrame(rows, SCHEMA), "doc_id", ["text"], ["text"], buckets)
+    assert {r.text: r.next_text for r in out.collect()} == want
+    one = fingerprint.with_next(spark.createDataFrame(rows[3:4], SCHEMA), "doc_id", ["text"], ["text"], buckets).first()
+    assert one.next_text == one.text
+
+
+def test_empty_bins_borrow_alike(spark):
+    """Short texts leave most bins empty; likeness must still follow the shingles in common."""
+    base = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(base[:i] + [f"x{i}"] + base[i + 1 :]), "", "", 0, 0, "") for i in range(40)]
+    frame = fingerprint.with_fingerprint(spark.createDataFrame(rows, SCHEMA), F.col("text"), "fp").select("doc_id", "text", "fp")
+    a, b = frame.alias("a"), frame.alias("b")
+    pairs = a.join(b, F.expr("a.doc_id < b.doc_id")).select("a.text", F.col("b.text").alias("other"), fingerprint.likeness(F.col("a.fp"), F.col("b.fp")).alias("near")).collect()
+    off = [r.near - jaccard(r.text, r.other) for r in pairs]
+    assert abs(sum(off)) / len(off) < 0.03 and (sum(x * x for x in off) / len(off)) ** 0.5 < 0.1
+
+
+def test_plan_is_native_and_shuffles_texts_once(spark):
+    plan = fingerprint.fingerprint_report(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Python" not in plan and "Arrow" not in plan

@@ -1,0 +1,72 @@
+import math
+import re
+from collections import defaultdict
+
+from gridscan.llm import mixing
+
+from .conftest import SCHEMA
+
+
+def targets(sizes):
+    """Reshare the excess until no source is above its cap."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    total, capped = sum(sizes.values()), {}
+    while True:
+        rest = total - sum(capped.values())
+        free = sum(w for s, w in weights.items() if s not in capped)
+        over = {s for s, w in weights.items() if s not in capped and rest * w / free > 3 * sizes[s] + 1e-9}
+        if not over:
+            return {s: capped.get(s, rest * w / free if s not in capped else 0) for s, w in weights.items()}
+        capped |= {s: 3 * sizes[s] for s in over}
+
+
+def words(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def test_targets_and_amounts(odd_frame, odd_docs):
+    rows = mixing.mix_plan(odd_frame).collect()
+    sizes = defaultdict(int)
+    for d in odd_docs:
+        sizes[d[3]] += words(d[1])
+    want = targets(sizes)
+    by_id = {d[0]: d for d in odd_docs}
+    assert sorted(r.id for r in rows) == sorted(by_id)
+    taken = defaultdict(int)
+    for r in rows:
+        assert r.size == words(by_id[r.id][1]) and r.source == by_id[r.id][3] and r.source_size == sizes[r.source]
+        assert math.isclose(r.target, want[r.source], rel_tol=1e-9)
+        assert r.taken == r.copies * r.size and 0 <= r.copies <= 3
+        rate = r.target / r.source_size
+        assert math.floor(rate) <= r.copies <= math.ceil(rate)
+        taken[r.source] += r.taken
+    largest = max(r.size for r in rows)
+    for s, t in want.items():
+        assert abs(taken[s] - t) <= max(largest, 0.05 * t)
+    again = {r.id: r.copies for r in mixing.mix_plan(odd_frame.repartition(7)).collect()}
+    assert again == {r.id: r.copies for r in rows}
+
+
+def test_mix_repeats_rows(odd_frame, odd_docs):
+    copies = {r.id: r.copies for r in mixing.mix_plan(odd_frame).collect()}
+    out = mixing.mix(odd_frame)
+    assert out.columns == odd_frame.columns
+    got = defaultdict(int)
+    for r in out.collect():
+        got[r.doc_id] += 1
+    assert dict(got) == {k: c for k, c in copies.items() if c}
+
+
+def test_repeated_null_and_empty(spark, empty_frame):
+    rows = [(None if i % 4 == 0 else i // 6, ["one two three", "", None, "a b"][i % 4], "en", ["s", None, "t", "empty"][i % 4 if i % 4 != 1 else 3], 0, 0, "") for i in range(48)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    plan = mixing.mix_plan(frame).collect()
+    assert len(plan) == 48
+    assert mixing.mix(frame).count() == sum(r.copies for r in plan)
+    assert mixing.mix_plan(empty_frame).count() == 0 and mixing.mix(empty_frame).count() == 0
+
+
+def test_one_source_takes_everything_once(spark):
+    frame = spark.createDataFrame([(i, "w " * i, "en", "s", 0, 0, "") for i in range(100)], SCHEMA)
+    assert all(r.copies == 1 for r in mixing.mix_plan(frame).collect())
