@@ -409,8 +409,8 @@ def apply_spans(docs: DataFrame, finish, schema: str, id_col: str = "doc_id", te
     rows = _with_key(docs, id_col, text_col).withColumn("_s_text", F.coalesce(F.col(text_col).cast("binary"), F.lit("").cast("binary")))
     bytes_in = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     parts = input_partitions(spark)
-    grams = int(min(max(2 * parts, bytes_in // BUCKET_BYTES), 1 << 20))
-    buckets = _prime(4 * grams)
+    grams = int(min(max(parts, bytes_in // BUCKET_BYTES), 1 << 20))
+    buckets = _prime(grams)
     entries = rows.select("_s_key", "_s_text").mapInArrow(_scan(grams, buckets), _BLOB)
     first = cut_lineage(entries.repartition(parts, "b").sortWithinPartitions("b").mapInArrow(_first_pass(buckets), _BLOB))
     dealt = rows.drop(text_col).withColumn("_s_b", F.pmod(F.col("_s_key"), F.lit(buckets).cast("long"))).groupBy("_s_b")
