@@ -36,9 +36,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def input_partitions(spark: SparkSession) -> int:
-    """Partitions for a shuffle that carries whole texts."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+#: Stored bytes of input per partition of a shuffle that carries whole texts.
+PARTITION_BYTES = 16 << 20
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a frame's size; for a scan the size of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def input_partitions(df: DataFrame) -> int:
+    """Partitions for a shuffle that carries the texts of df: the session's number, more where the input is large."""
+    spark = df.sparkSession
+    least = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return max(least, min(stored_bytes(df) // PARTITION_BYTES, 1 << 17))
 
 
 def words_of(text: Column | str) -> Column:

@@ -90,7 +90,7 @@ def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.length(text).alias("n"))
     rows = with_fingerprint(rows, F.col("text"), "fp")
-    rows = with_next(rows, "id", ["text"], ["text", "fp"], max(2, input_partitions(docs.sparkSession)))
+    rows = with_next(rows, "id", ["text"], ["text", "fp"], input_partitions(docs))
     cut = F.floor(F.col("n") / 4).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n") - cut), F.substring("next_text", F.lit(1), cut))).drop("text", "next_text")
     rows = with_fingerprint(rows, F.col("edited"), "efp")

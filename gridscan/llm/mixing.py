@@ -55,7 +55,6 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     Size counts words; a null text has none. Null sources form one source, sorted last. A source
     without words has target 0 and gives nothing. Reruns agree, as the plan depends on the rows alone.
     """
-    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     narrow = docs.select(
         F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), F.col(source_col).alias("source"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("size")
@@ -63,7 +62,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     narrow = cut_lineage(narrow.withColumn("tie", F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")))))
     targets = _bounded(cut_lineage(source_targets(narrow)))
     order = ["source", "size", "tie", "id", "text_key"]
-    placed = narrow.repartitionByRange(max(2, input_partitions(spark)), *order).sortWithinPartitions(*order)
+    placed = narrow.repartitionByRange(input_partitions(docs), *order).sortWithinPartitions(*order)
     placed = placed.withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.shiftright("at", 33)).drop("tie")
     placed = cut_lineage(placed)
     starts = placed.groupBy("source", "part").agg(F.min("at").alias("least"), F.count("*").alias("n"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, input_partitions
+from .common import cut_lineage, input_partitions, stored_bytes
 from .deep_shallow import sort_suffixes
 
 LENGTH = 100
@@ -394,7 +394,7 @@ def _with_key(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     if n == there == different:
         return docs.withColumn("_s_key", F.col(id_col).cast("long"))
     order = [F.col(id_col).asc_nulls_first(), F.xxhash64(text)]
-    ranked = docs.repartitionByRange(max(2, input_partitions(docs.sparkSession)), *order).sortWithinPartitions(*order)
+    ranked = docs.repartitionByRange(input_partitions(docs), *order).sortWithinPartitions(*order)
     return cut_lineage(ranked.withColumn("_s_key", F.monotonically_increasing_id()))
 
 
@@ -405,11 +405,9 @@ def apply_spans(docs: DataFrame, finish, schema: str, id_col: str = "doc_id", te
     (lo, hi) per document: the maximal runs of bytes that repeat an earlier string. Null texts are empty.
     Of rows with one id (or without any, which come first) the order is by text.
     """
-    spark = docs.sparkSession
     rows = _with_key(docs, id_col, text_col).withColumn("_s_text", F.coalesce(F.col(text_col).cast("binary"), F.lit("").cast("binary")))
-    bytes_in = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    parts = input_partitions(spark)
-    grams = int(min(max(parts, bytes_in // BUCKET_BYTES), 1 << 20))
+    parts = input_partitions(docs)
+    grams = int(min(max(parts, stored_bytes(docs) // BUCKET_BYTES), 1 << 20))
     buckets = _prime(grams)
     entries = rows.select("_s_key", "_s_text").mapInArrow(_scan(grams, buckets), _BLOB)
     first = cut_lineage(entries.repartition(parts, "b").sortWithinPartitions("b").mapInArrow(_first_pass(buckets), _BLOB))

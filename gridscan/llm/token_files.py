@@ -141,7 +141,7 @@ def write_token_files(docs: DataFrame, uri: str, id_col: str = "doc_id", text_co
         close()
         yield pa.RecordBatch.from_pylist(rows, schema=_FILES)
 
-    parts = input_partitions(spark)
+    parts = input_partitions(docs)
     bounds = range_buckets(docs, id_col, parts)
     rows = docs.select(bucket_of(F.col(id_col).cast("long"), bounds).alias("bucket"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "id", F.xxhash64("text"))

@@ -102,7 +102,7 @@ _FILES = pa.schema([("name", pa.string()), *[(c, pa.int64()) for c in ("bucket",
 
 def write_warc(pages: DataFrame, uri: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", roll: int = ROLL) -> list[dict]:
     """Write one record per row of pages below ``uri`` and return the manifest's files. Null payloads are empty."""
-    parts = input_partitions(pages.sparkSession)
+    parts = input_partitions(pages)
     bounds = range_buckets(pages, id_col, parts)
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit("").cast("binary"))
     key = F.col(id_col).cast("long")
