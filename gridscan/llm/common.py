@@ -41,8 +41,10 @@ PARTITION_BYTES = 16 << 20
 
 
 def stored_bytes(df: DataFrame) -> int:
-    """The optimizer's estimate of a frame's size; for a scan the size of its files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Bytes of the files that a frame reads, by the optimizer's figures; sources of unknown size count as nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(n for n in sizes if n < 1 << 60)
 
 
 def input_partitions(df: DataFrame) -> int:
