@@ -1,12 +1,13 @@
 """Token files: frequency-ranked ids in byte-aligned variable-length coding with separate control bytes.
 
-A first pass counts every id (the counts are bounded by the vocabulary, so the driver may hold them)
-and ranks them, the commonest first. Documents are then range-dealt by id, and each range writes files:
-a table of documents, two control bits per id giving its length of 1 to 4 bytes, and the bytes. The
-decoder finds the lengths of four ids at once in a table of 256 rows and gathers all ids with numpy.
-
-A file is ``GSV1``, then the numbers of documents, ids and data bytes (64-bit), then per document its
-id, a byte telling whether it has one, and its number of ids, then control bytes, then data bytes.
+Documents are range-dealt by id, encoded once, and each range writes files. A file ranks its own ids,
+the commonest first, and keeps that table, so it can be read alone and no pass over the whole corpus
+has to come first. Then follow two control bits per id, giving the length of 1 to 4 bytes of its rank, and those
+bytes. The decoder finds the lengths of four ids at once in a table of 256 rows and gathers all with numpy.
+
+A file is ``GSV1``, then the numbers of documents, ids, data bytes and different ids (64-bit), then per
+document its id, a byte telling whether it has one, and its number of ids, then the ids by rank (32-bit),
+control bytes and data bytes.
 """
 
 from __future__ import annotations
@@ -19,13 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bucket_of, input_partitions, range_buckets, scratch_dir
-from .files import committed, open_store, write_manifest
+from .files import committed, write_manifest
 from .tokenize import default_vocabulary, encoder
 
 END_ID = 2
 MAGIC = b"GSV1"
-#: A file is closed once its data pass so many bytes.
-ROLL = 4 << 20
+#: A file is closed once it holds so many ids.
+ROLL = 2 << 20
 _LENGTHS = (np.arange(256, dtype=np.uint8)[:, None] >> np.arange(0, 8, 2, dtype=np.uint8) & 3) + 1
 _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
@@ -49,53 +50,47 @@ def decode_values(control: bytes, data: bytes, n: int) -> np.ndarray:
     return wide[ends - lengths] & _MASKS[lengths]
 
 
+def rank_ids(ids: np.ndarray) -> np.ndarray:
+    """The different ids in falling order of their number, of equal ones the smaller first."""
+    different, n = np.unique(ids, return_counts=True)
+    return different[np.lexsort((different, -n))].astype("<u4")
+
+
 def file_bytes(docs: list[tuple[int | None, np.ndarray]]) -> bytes:
-    """The bytes of one file of (document id, values)."""
-    values = np.concatenate([v for _, v in docs]) if docs else np.empty(0, np.uint32)
-    control, data = encode_values(values)
-    head = np.array([len(docs), len(values), len(data)], "<i8").tobytes()
+    """The bytes of one file of (document id, token ids)."""
+    ids = np.concatenate([v for _, v in docs]) if docs else np.empty(0, np.uint32)
+    ranked = rank_ids(ids)
+    rank_of = np.zeros(int(ranked.max(initial=0)) + 1, np.uint32) if len(ranked) and ranked.max() < 1 << 24 else None
+    if rank_of is not None:
+        rank_of[ranked] = np.arange(len(ranked), dtype=np.uint32)
+        ranks = rank_of[ids]
+    else:
+        order = np.argsort(ranked)
+        ranks = order[np.searchsorted(ranked, ids, sorter=order)]
+    control, data = encode_values(ranks)
+    head = np.array([len(docs), len(ids), len(data), len(ranked)], "<i8").tobytes()
     keys = np.array([k or 0 for k, _ in docs], "<i8").tobytes()
     there = np.array([k is not None for k, _ in docs], np.uint8).tobytes()
     counts = np.array([len(v) for _, v in docs], "<i8").tobytes()
-    return b"".join([MAGIC, head, keys, there, counts, control, data])
+    return b"".join([MAGIC, head, keys, there, counts, ranked.tobytes(), control, data])
 
 
 def parse_file(raw: bytes) -> list[tuple[int | None, np.ndarray]]:
     """What ``file_bytes`` was given."""
     if raw[:4] != MAGIC:
         raise ValueError("not a token file")
-    n, ids, size = np.frombuffer(raw, "<i8", 3, 4).tolist()
-    at = 28
+    n, total, size, different = np.frombuffer(raw, "<i8", 4, 4).tolist()
+    at = 36
     keys = np.frombuffer(raw, "<i8", n, at).tolist()
     there = np.frombuffer(raw, np.uint8, n, at + 8 * n).tolist()
     counts = np.frombuffer(raw, "<i8", n, at + 9 * n)
     at += 17 * n
-    control = (ids + 3) // 4
-    values = decode_values(raw[at : at + control], raw[at + control : at + control + size], ids)
+    ranked = np.frombuffer(raw, "<u4", different, at)
+    at += 4 * different
+    control = (total + 3) // 4
+    ids = ranked[decode_values(raw[at : at + control], raw[at + control : at + control + size], total)]
     ends = np.cumsum(counts)
-    return [(k if t else None, values[e - c : e]) for k, t, c, e in zip(keys, there, counts.tolist(), ends.tolist())]
-
-
-def id_ranks(docs: DataFrame, text_col: str, path: str) -> np.ndarray:
-    """Ids in falling order of their number in all texts (of equal ones the smaller first); only ids that occur."""
-
-    def count(batches):
-        encode, seen, n = encoder(path), np.zeros(1 << 16, np.int64), 0
-        for b in batches:
-            ids = np.frombuffer(b"".join(encode(t.as_py()) for t in b.column(0)), "<u4")
-            got = np.bincount(ids, minlength=len(seen))
-            if len(got) > len(seen):
-                seen = np.pad(seen, (0, len(got) - len(seen)))
-            seen[: len(got)] += got
-            n += b.num_rows
-        if n:
-            seen[END_ID] += n
-            at = np.flatnonzero(seen)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["id", "n"])
-
-    counts = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
-    ids, n = counts.column(0).to_numpy(), counts.column(1).to_numpy()
-    return ids[np.lexsort((ids, -n))].astype(np.uint32)
+    return [(k if t else None, ids[e - c : e]) for k, t, c, e in zip(keys, there, counts.tolist(), ends.tolist())]
 
 
 def write_token_files(docs: DataFrame, uri: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, roll: int = ROLL) -> list[dict]:
@@ -103,17 +98,11 @@ def write_token_files(docs: DataFrame, uri: str, id_col: str = "doc_id", text_co
 
     Null texts count as empty; every document ends with id 2.
     """
-    spark, path = docs.sparkSession, vocabulary or default_vocabulary()
-    ranked = id_ranks(docs, text_col, path)
-    with committed(uri, "ids-by-rank.u4") as out:
-        out.write(ranked.tobytes())
-    rank_of = np.zeros(int(ranked.max(initial=0)) + 1, np.uint32)
-    rank_of[ranked] = np.arange(len(ranked), dtype=np.uint32)
-    table = spark.sparkContext.broadcast(rank_of)
+    path = vocabulary or default_vocabulary()
     end = np.array([END_ID], "<u4").tobytes()
 
     def write(batches):
-        encode, ranks = encoder(path), table.value
+        encode = encoder(path)
         held: list[tuple[int | None, np.ndarray]] = []
         size, now, number = 0, None, 0
         rows: list[dict] = []
@@ -133,7 +122,7 @@ def write_token_files(docs: DataFrame, uri: str, id_col: str = "doc_id", text_co
                 if bucket != now:
                     close()
                     now, number = bucket, 0
-                v = ranks[np.frombuffer(encode(text.as_py()) + end, "<u4")]
+                v = np.frombuffer(encode(text.as_py()) + end, "<u4")
                 held.append((key, v))
                 size += len(v)
                 if size >= roll:
@@ -159,13 +148,9 @@ _FILES = pa.schema([("name", pa.string()), *[(c, pa.int64()) for c in ("bucket",
 
 def read_token_files(spark, uri: str, files: list[dict]) -> DataFrame:
     """(doc_id, start, n_tokens, ids): the documents of the files in a manifest."""
-    store, top = open_store(uri)
-    with store.open_input_stream(f"{top}/ids-by-rank.u4") as f:
-        ranked = spark.sparkContext.broadcast(np.frombuffer(f.read(), "<u4"))
     starts = spark.sparkContext.broadcast({f["name"]: f["start"] for f in files})
 
     def read(batches):
-        ids = ranked.value
         for b in batches:
             for name, raw in zip(b.column(0).to_pylist(), b.column(1)):
                 start = starts.value.get(name.rsplit("/", 1)[-1])
@@ -173,7 +158,7 @@ def read_token_files(spark, uri: str, files: list[dict]) -> DataFrame:
                     continue
                 out = []
                 for key, v in parse_file(raw.as_py()):
-                    out.append((key, start, len(v), ids[v].astype("<u4").tobytes()))
+                    out.append((key, start, len(v), v.tobytes()))
                     start += len(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "start", "n_tokens", "ids"])
 
