@@ -1,0 +1,29 @@
+"""Every query of the engine against DuckDB on the tables that its workbooks were written from."""
+
+import duckdb
+import pytest
+
+from gridscan.plans.oracles import ORACLE_SQL
+from gridscan.plans.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def db():
+    out = duckdb.connect()
+    for t in "region nation customer supplier part orders lineitem events documents pages benchmark labels conversations".split():
+        out.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    return out
+
+
+def test_every_query_has_its_sql():
+    assert set(QUERIES) == set(ORACLE_SQL)
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query_equals_sql(spark, db, name):
+    df = QUERIES[name](spark, SF)
+    want = db.execute(f"SELECT {', '.join(chr(34) + c + chr(34) for c in df.columns)} FROM ({ORACLE_SQL[name]}) q").fetchall()
+    got = [tuple(r) for r in df.collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
