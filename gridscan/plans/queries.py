@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,9 +75,9 @@ def _view(spark: SparkSession, sf: str) -> DataFrame:
 
 def _ctas(spark: SparkSession, sf: str) -> DataFrame:
     table(spark, sf, "supplier").createOrReplaceTempView("gridscan_supplier")
-    spark.sql("DROP TABLE IF EXISTS gridscan_ctas")
-    spark.sql("CREATE TABLE gridscan_ctas USING parquet AS SELECT * FROM gridscan_supplier WHERE s_acctbal > 0")
-    return spark.table("gridscan_ctas")
+    name = f"gridscan_ctas_{uuid.uuid4().hex}"  # a folder of an earlier session's table may still be there
+    spark.sql(f"CREATE TABLE {name} USING parquet AS SELECT * FROM gridscan_supplier WHERE s_acctbal > 0")
+    return spark.table(name)
 
 
 QUERIES: dict[str, Query] = {
