@@ -52,7 +52,12 @@ def decode_values(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 def rank_ids(ids: np.ndarray) -> np.ndarray:
     """The different ids in falling order of their number, of equal ones the smaller first."""
-    different, n = np.unique(ids, return_counts=True)
+    if len(ids) and int(ids.max()) < 1 << 24:
+        counts = np.bincount(ids)
+        different = np.flatnonzero(counts)
+        n = counts[different]
+    else:
+        different, n = np.unique(ids, return_counts=True)
     return different[np.lexsort((different, -n))].astype("<u4")
 
 
