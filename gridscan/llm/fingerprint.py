@@ -1,6 +1,6 @@
 """Document fingerprints: one-permutation MinHash, in native expressions only.
 
-A text's 5-word shingles are hashed once; the top bits of a hash choose one of 128 bins, and a bin keeps
+A text's 5-word shingles are hashed once; the top bits of a hash choose one of 256 bins, and a bin keeps
 its least hash. Sorting the hashes brings each bin's least to the front of its run, so one filter finds
 them all. An empty bin borrows from the first non-empty bin of its own pseudo-random sequence of bins
 (optimal densification); the sequence is the same for all documents. The low 8 bits of each bin are kept,
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import bucket_of, input_partitions, range_buckets, shingle_hashes, words_of
 
-BIN_BITS = 7
+BIN_BITS = 8
 BINS = 1 << BIN_BITS
 LOW_BITS = 8
 WIDTH = 5
