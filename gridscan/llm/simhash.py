@@ -53,14 +53,18 @@ def fingerprint_bytes(text: bytes | None, width: int = WIDTH) -> int:
 
 def _fingerprint_batches(batches):
     for b in batches:
-        got = np.fromiter((fingerprint_bytes(t.as_py()) for t in b.column(1)), np.uint64, b.num_rows)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got.view(np.int64))], ["id", "fp"])
+        got = np.fromiter((fingerprint_bytes(t.as_py()) for t in b.column(2)), np.uint64, b.num_rows)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got.view(np.int64))], ["id", "text_key", "fp"])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): the SimHash of every text, as a signed long."""
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return narrow.mapInArrow(_fingerprint_batches, "id long, fp long")
+    """(id, text_key, fp): the SimHash of every text, as a signed long, and a hash that tells rows of one id apart."""
+    narrow = docs.select(F.col(id_col).cast("long").alias("id"), _text_key(text_col).alias("text_key"), F.col(text_col).cast("binary").alias("text"))
+    return narrow.mapInArrow(_fingerprint_batches, "id long, text_key long, fp long")
+
+
+def _text_key(text_col: str):
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
 class BKTree:
@@ -201,17 +205,24 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _rooted(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(a row (id, text_key, fp) per row of docs, (fp, root) of every fingerprint), both checkpointed."""
+    fps = cut_lineage(fingerprints(docs, id_col, text_col))
+    distinct = fps.select("fp").distinct()
+    roots = components(fingerprint_links(distinct))
+    named = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return fps, cut_lineage(named)
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of docs.
 
     Null and blank texts have fingerprint zero and link like any other. Rows without an id take part
     and get the smallest id of their component, null if it has none. Repeated rows stay repeated.
     """
-    fps = cut_lineage(fingerprints(docs, id_col, text_col))
-    distinct = cut_lineage(fps.groupBy("fp").agg(F.min("id").alias("first")))
-    roots = components(fingerprint_links(distinct))
-    named = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    fps, named = _rooted(docs, id_col, text_col)
+    first = fps.groupBy("fp").agg(F.min("id").alias("first"))
+    least = named.join(first, "fp").groupBy("root").agg(F.min("first").alias("component_id"))
     groups = cut_lineage(named.join(least, "root").select("fp", "component_id"))
     return fps.join(groups, "fp").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
@@ -219,8 +230,12 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without all but the row of the smallest id of each component; of rows with that same id one stays (the first by text), rows without an id stay."""
-    groups = simhash_groups(docs, id_col, text_col)
-    drop = groups.where(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    kept = docs.join(drop, F.col(id_col) == F.col("_gone"), "left_anti")
-    return kept.dropDuplicates([id_col, text_col])
+    """docs with one row of each component: that of the smallest id, rows without an id last, of equal ids the first by a hash of the text."""
+    fps, named = _rooted(docs, id_col, text_col)
+    place = F.struct(F.col("id").isNull().alias("n"), "id", "text_key")
+    first = fps.groupBy("fp").agg(F.min(place).alias("place"))
+    kept = named.join(first, "fp").groupBy("root").agg(F.min("place").alias("place"))
+    kept = cut_lineage(kept.select(F.col("place.id").alias("_d_id"), F.col("place.text_key").alias("_d_text")))
+    keyed = docs.withColumn("_d_key", _text_key(text_col))
+    rows = keyed.join(kept, F.col(id_col).eqNullSafe(F.col("_d_id")) & (F.col("_d_key") == F.col("_d_text")), "left_semi")
+    return rows.dropDuplicates([id_col, "_d_key"]).drop("_d_key")

@@ -128,3 +128,15 @@ def test_dedup_keeps_one_of_each_group(odd_frame, odd_docs):
     out = simhash.simhash_dedup(odd_frame)
     assert out.columns == odd_frame.columns
     assert sorted(x.doc_id for x in out.collect()) == sorted(kept)
+
+
+def test_dedup_keeps_one_row_without_ids_and_of_repeated_rows(spark, odd_docs, empty_frame):
+    docs = [(None if k % 7 == 0 else d[0] // 50, *d[1:]) for k, d in enumerate(odd_docs)] * 2
+    pairs = [(k, brute_fingerprint(d[1])) for k, d in enumerate(docs)]
+    groups = {}
+    for d, c in zip(docs, brute_components(pairs)):
+        groups.setdefault(c, []).append(d[0])
+    want = [min((i for i in ids if i is not None), default=None) for ids in groups.values()]
+    out = simhash.simhash_dedup(spark.createDataFrame(docs, SCHEMA)).collect()
+    assert sorted(str(r.doc_id) for r in out) == sorted(map(str, want))
+    assert simhash.simhash_dedup(empty_frame).count() == 0
