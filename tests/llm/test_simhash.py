@@ -122,21 +122,68 @@ def test_bk_tree_finds_all_within(monkeypatch):
             assert sorted(tree.within(q, radius)) == [i for i, v in enumerate(values) if (v ^ q).bit_count() <= radius]
 
 
+def likeness(a, b):
+    sets = []
+    for t in (a, b):
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    a, b = sets
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def variant(r, words, share):
+    return " ".join(f"new{r.randrange(10**6)}" if r.random() < share else w for w in words)
+
+
+def test_near_copies_are_found_and_others_left(spark):
+    r = random.Random(11)
+    texts, origin = [], []
+    for k in range(60):
+        words = [f"w{r.randrange(3000)}" for _ in range(r.randrange(60, 500))]
+        texts.append(" ".join(words))
+        origin.append(None)
+        for share in (0.004, 0.01, 0.02, 0.3):
+            texts.append(variant(r, words, share))
+            origin.append(len(texts) - 1 - (0.004, 0.01, 0.02, 0.3).index(share) - 1)
+    docs = [(i, t, "en", "s", 0, 0, "") for i, t in enumerate(texts)]
+    kept = {x.doc_id for x in simhash.simhash_dedup(spark.createDataFrame(docs, SCHEMA)).collect()}
+    near = [i for i, o in enumerate(origin) if o is not None and likeness(texts[i], texts[o]) >= 0.8]
+    far = [i for i, o in enumerate(origin) if o is None or likeness(texts[i], texts[o]) < 0.4]
+    assert len(near) > 100 and len(far) > 100
+    assert sum(i not in kept for i in near) >= 0.97 * len(near)
+    assert all(i in kept for i in far)
+
+
+def test_fingerprints_differ_as_likeness_tells():
+    r = random.Random(12)
+    words = [f"w{r.randrange(10**5)}" for _ in range(4000)]
+    base = int.from_bytes(simhash.like_fingerprint(simhash.shingle_set(" ".join(words).encode())), "little")
+    bits = []
+    for share in (0.0, 0.02, 0.05, 1.0):
+        text = variant(r, words, share)
+        other = int.from_bytes(simhash.like_fingerprint(simhash.shingle_set(text.encode())), "little")
+        bits.append((base ^ other).bit_count())
+    assert bits[0] == 0 and bits[0] < bits[1] < bits[2] < bits[3] and 100 < bits[3] < 156
+
+
 def test_dedup_keeps_one_of_each_group(odd_frame, odd_docs):
-    pairs = [(d[0], brute_fingerprint(d[1])) for d in odd_docs]
-    kept = {d for (d, _), c in zip(pairs, brute_components(pairs)) if d == c}
     out = simhash.simhash_dedup(odd_frame)
     assert out.columns == odd_frame.columns
-    assert sorted(x.doc_id for x in out.collect()) == sorted(kept)
+    kept = {x.doc_id for x in out.collect()}
+    order = sorted(odd_docs)
+    for i, d in enumerate(order):
+        like = [likeness(d[1], e[1]) for e in order[:i]]
+        if any(x >= 0.95 for x in like):
+            assert d[0] not in kept
+        if all(x < 0.3 for x in like) and all(likeness(d[1], e[1]) < 0.3 for e in order[i + 1 :]):
+            assert d[0] in kept
 
 
 def test_dedup_keeps_one_row_without_ids_and_of_repeated_rows(spark, odd_docs, empty_frame):
-    docs = [(None if k % 7 == 0 else d[0] // 50, *d[1:]) for k, d in enumerate(odd_docs)] * 2
-    pairs = [(k, brute_fingerprint(d[1])) for k, d in enumerate(docs)]
-    groups = {}
-    for d, c in zip(docs, brute_components(pairs)):
-        groups.setdefault(c, []).append(d[0])
-    want = [min((i for i in ids if i is not None), default=None) for ids in groups.values()]
-    out = simhash.simhash_dedup(spark.createDataFrame(docs, SCHEMA)).collect()
-    assert sorted(str(r.doc_id) for r in out) == sorted(map(str, want))
+    docs = [(None if k % 7 == 0 else d[0] // 50, *d[1:]) for k, d in enumerate(odd_docs)]
+    once = simhash.simhash_dedup(spark.createDataFrame(docs, SCHEMA)).collect()
+    twice = simhash.simhash_dedup(spark.createDataFrame(docs * 2, SCHEMA)).collect()
+    assert sorted(map(str, once)) == sorted(map(str, twice)) and len(once) < len(docs)
     assert simhash.simhash_dedup(empty_frame).count() == 0
+    alone = [(None, "one text without an id", "", "", 0, 0, "")] * 3
+    assert simhash.simhash_dedup(spark.createDataFrame(alone, SCHEMA)).count() == 1
