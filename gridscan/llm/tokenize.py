@@ -18,7 +18,7 @@ _RUN = re.compile(r" \s| \Z")
 #: Letters that every Unicode version knows, and marks that never begin a contraction.
 _LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 #: A point or comma that doesn't stand alone behind a letter or digit.
-_BESIDE = re.compile(f"(?<![{_LETTER}0-9])[.,]|[.,](?=[^\\s{_LETTER}0-9])")
+_BESIDE = re.compile(f"[.,](?:(?<![{_LETTER}0-9].)|(?=[^\\s{_LETTER}0-9]))")
 _WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?#*$%&|()\[\]{}<>=+/-]*)")
 
 
