@@ -151,8 +151,8 @@ def write_token_files(docs: DataFrame, uri: str, id_col: str = "doc_id", text_co
 _FILES = pa.schema([("name", pa.string()), *[(c, pa.int64()) for c in ("bucket", "number", "docs", "ids", "bytes")]])
 
 
-def read_token_files(spark, uri: str, files: list[dict]) -> DataFrame:
-    """(doc_id, start, n_tokens, ids): the documents of the files in a manifest."""
+def read_token_files(spark, uri: str, files: list[dict], digest: bool = False) -> DataFrame:
+    """(doc_id, start, n_tokens, ids): the documents of the files in a manifest; with ``digest`` the CRC-32 of the ids in their place."""
     starts = spark.sparkContext.broadcast({f["name"]: f["start"] for f in files})
 
     def read(batches):
@@ -163,11 +163,14 @@ def read_token_files(spark, uri: str, files: list[dict]) -> DataFrame:
                     continue
                 out = []
                 for key, v in parse_file(raw.as_py()):
-                    out.append((key, start, len(v), v.tobytes()))
+                    raw_ids = v.tobytes()
+                    out.append((key, start, len(v), zlib.crc32(raw_ids) if digest else raw_ids))
                     start += len(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "start", "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
-    schema = "doc_id long, start long, n_tokens long, ids binary"
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64() if digest else pa.binary())
+    names = ["doc_id", "start", "n_tokens", "ids_crc32" if digest else "ids"]
+    schema = f"doc_id long, start long, n_tokens long, {'ids_crc32 long' if digest else 'ids binary'}"
     if not files:
         return spark.createDataFrame([], schema)
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.gsv").load(uri).select("path", "content")
@@ -178,11 +181,5 @@ def token_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(doc_id, start, n_tokens, ids_crc32) as read back from files written in the shared folder."""
     spark = docs.sparkSession
     uri = scratch_dir(spark, "tokens")
-    back = read_token_files(spark, uri, write_token_files(docs, uri, id_col, text_col, vocabulary))
-
-    def crc(batches):
-        for b in batches:
-            got = pa.array([zlib.crc32(x.as_buffer()) for x in b.column(3)], pa.int64())
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], got], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return back.mapInArrow(crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    files = write_token_files(docs, uri, id_col, text_col, vocabulary)
+    return read_token_files(spark, uri, files, digest=True)

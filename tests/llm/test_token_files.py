@@ -47,6 +47,13 @@ def test_files_are_rolled_listed_and_the_same_again(spark, odd_frame, tmp_path):
         assert (tmp_path / "a" / f["name"]).read_bytes() == (tmp_path / "b" / f["name"]).read_bytes()
 
 
+def test_ids_read_back(spark, odd_frame, odd_docs, tmp_path):
+    uri = f"file://{tmp_path}/t"
+    rows = token_files.read_token_files(spark, uri, token_files.write_token_files(odd_frame, uri)).collect()
+    encode, texts = plain(), {d[0]: d[1] for d in odd_docs}
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rows} == {k: [*encode(t), 2] for k, t in texts.items()}
+
+
 @pytest.mark.parametrize("top", [1, 200, 256, 70_000, 1 << 25, (1 << 32) - 1])
 def test_codec(top):
     r = random.Random(top)
