@@ -1,0 +1 @@
+"""The scan rules: options, header and type inference, conversion of cells."""

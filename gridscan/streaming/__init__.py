@@ -1,0 +1 @@
+"""Kept for streams; a worksheet is a bounded table, so there is nothing to stream."""
