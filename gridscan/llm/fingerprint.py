@@ -20,6 +20,7 @@ LOW_BITS = 8
 WIDTH = 5
 #: Expected misses of an empty bin's search are e^-PROBES; the rest take a bin by rank.
 PROBES = 8
+EARLY = 6
 
 
 def with_fingerprint(df: DataFrame, text: Column, name: str, width: int = WIDTH) -> DataFrame:
@@ -41,8 +42,10 @@ def with_fingerprint(df: DataFrame, text: Column, name: str, width: int = WIDTH)
     tries = f"sequence(1, cast(ceil({PROBES * BINS} / size({least})) as int))"
     probe = "cast(pmod(xxhash64(j, a), %d) as int)" % BINS
     found = f"get({dense}, {probe.replace('a)', f'get(filter({tries}, a -> get({dense}, {probe}) is not null), 0))')})"
+    # Most empty bins end their search early; the rest go through all tries.
+    early = ", ".join(f"get({dense}, {probe.replace('a)', f'{a})')})" for a in range(1, EARLY + 1))
     by_rank = f"get({least}, cast(pmod(xxhash64(j), size({least})) as int))"
-    out = out.withColumn(name, F.expr(f"transform({dense}, (x, j) -> cast(coalesce(x, {found}, {by_rank}) & {(1 << LOW_BITS) - 1} as smallint))"))
+    out = out.withColumn(name, F.expr(f"transform({dense}, (x, j) -> cast(coalesce(x, {early}, {found}, {by_rank}) & {(1 << LOW_BITS) - 1} as smallint))"))
     return out.drop(least, dense)
 
 
