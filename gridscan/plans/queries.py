@@ -95,7 +95,7 @@ QUERIES: dict[str, Query] = {
     "scan_force_types_nulls": lambda spark, sf: table(spark, sf, "nation", types="VARCHAR,VARCHAR,DATE", force_types="true"),
     "scan_coerce_inferred_only": lambda spark, sf: table(spark, sf, "nation", coerce_to_string="true"),
     "scan_extra_types": lambda spark, sf: table(spark, sf, "nation", types="double,text,float8,date,string"),
-    "scan_mixed_column_nulls": _variant("mixed", ["customer"], books.mixed),
+    "scan_mixed_column_nulls": _variant("mixed_cells", ["customer"], books.mixed),
     "scan_sparse_cells": _variant("sparse", ["customer"], books.sparse),
     "scan_row_gaps": _variant("gaps", ["nation"], books.gaps),
     "scan_bool_column": _variant("flags", ["labels"], books.flags),
