@@ -166,6 +166,33 @@ def test_fingerprints_differ_as_likeness_tells():
     assert bits[0] == 0 and bits[0] < bits[1] < bits[2] < bits[3] and 100 < bits[3] < 156
 
 
+def test_documents_well_below_the_likeness_stay(spark):
+    r = random.Random(13)
+    docs, pairs = [], []
+    for k in range(120):
+        words = [f"w{r.randrange(10**5)}" for _ in range(r.randrange(150, 600))]
+        text, other = " ".join(words), variant(r, words, r.choice((0.01, 0.02, 0.05, 0.06, 0.075, 0.1)))
+        docs += [(2 * k, text, "en", "s", 0, 0, ""), (2 * k + 1, other, "en", "s", 0, 0, "")]
+        pairs.append(likeness(text, other))
+    kept = {x.doc_id for x in simhash.simhash_dedup(spark.createDataFrame(docs, SCHEMA)).collect()}
+    assert all(2 * k in kept for k in range(120))
+    far, near = [k for k, x in enumerate(pairs) if x < 0.6], [k for k, x in enumerate(pairs) if x >= 0.82]
+    assert len(far) > 40 and len(near) > 10
+    assert all(2 * k + 1 in kept for k in far) and sum(2 * k + 1 not in kept for k in near) >= 0.95 * len(near)
+
+
+def test_long_fingerprints_tell_likeness_within_their_error():
+    r = random.Random(14)
+    words = [f"w{r.randrange(10**5)}" for _ in range(2000)]
+    base = simhash.shingle_set(" ".join(words).encode())
+    for share in (0.0, 0.01, 0.03, 0.07, 0.15):
+        other = simhash.shingle_set(variant(r, words, share).encode())
+        prints = [int.from_bytes(simhash.like_fingerprint(x, simhash.LIKE_WORDS), "little") for x in (base, other)]
+        n = 64 * simhash.LIKE_WORDS
+        p = np.arccos(min(1, len(np.intersect1d(base, other)) / (len(base) * len(other)) ** 0.5)) / np.pi
+        assert abs((prints[0] ^ prints[1]).bit_count() - n * p) <= 4 * (n * p * (1 - p)) ** 0.5 + 1
+
+
 def test_dedup_keeps_one_of_each_group(odd_frame, odd_docs):
     out = simhash.simhash_dedup(odd_frame)
     assert out.columns == odd_frame.columns
