@@ -27,6 +27,8 @@ ROLL = 4 << 20
 MIN_REVISIT = 100
 DATE = "1970-01-01T00:00:00Z"
 LEVEL = 3
+#: Compressed bytes that the reader hands to the decoder at once; what lies beyond a record's end is copied.
+_READ_BYTES = 4096
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -77,12 +79,16 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
 
 def members(raw: bytes):
     """The records of a compressed archive, one at a time."""
-    while raw:
-        d = zlib.decompressobj(31)
-        yield d.decompress(raw) + d.flush()
-        if not d.eof:
-            raise ValueError("a record is cut off")
-        raw = d.unused_data
+    at = 0
+    while at < len(raw):
+        d, out = zlib.decompressobj(31), []
+        while not d.eof:
+            piece = raw[at : at + _READ_BYTES]
+            if not piece:
+                raise ValueError("a record is cut off")
+            out.append(d.decompress(piece))
+            at += len(piece) - len(d.unused_data)
+        yield b"".join(out)
 
 
 def revisits(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html") -> DataFrame:
