@@ -91,7 +91,7 @@ def range_buckets(df: DataFrame, key: str, buckets: int) -> list[int]:
             break
         for c in large:
             cells.remove(c)
-            width = (c[1] - c[0] + 1) / (8 * buckets)
+            width = (c[1] - c[0] + 1) / max(16, 8 * buckets * c[2] // n)
             cell = F.floor((F.col("k").cast("double") - float(c[0])) / width)
             got = keys.where(F.col("k").between(c[0], c[1])).groupBy(cell).agg(F.min("k"), F.max("k"), F.count("*")).collect()
             cells += [(x[1], x[2], x[3]) for x in got]
@@ -104,9 +104,15 @@ def range_buckets(df: DataFrame, key: str, buckets: int) -> list[int]:
     return out
 
 
+def bounds_array(bounds: list[int]) -> Column:
+    """The bounds as one constant array, however many."""
+    return F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
+
+
 def bucket_of(key: Column, bounds: list[int]) -> Column:
-    """The number of the range that a key falls in; null keys go to range 0."""
+    """The number of the range that a key falls in, by binary search; null keys go to range 0."""
     if not bounds:
         return F.lit(0)
-    at = F.array(*[F.lit(b).cast("long") for b in bounds])
-    return F.coalesce(F.size(F.filter(at, lambda b: b <= key)), F.lit(0))
+    at = bounds_array(bounds)
+    steps = F.array(*[F.lit(1 << b) for b in range(len(bounds).bit_length() - 1, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get(at, low + step - 1) <= key, low + step).otherwise(low))

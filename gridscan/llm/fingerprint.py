@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_of, input_partitions, range_buckets, shingle_hashes, words_of
+from .common import bounds_array, bucket_of, input_partitions, range_buckets, shingle_hashes, words_of
 
 BIN_BITS = 8
 BINS = 1 << BIN_BITS
@@ -74,7 +74,7 @@ def with_next(rows: DataFrame, key: str, tie: list[str], columns: list[str], buc
     last = len(bounds)
     is_first = (k.isNull() if first[0] == 0 else k == F.lit(first[1])) if first[0] is not None else F.lit(False)
     at = bucket_of(k, bounds)
-    opens = F.array_contains(F.array(*[F.lit(b).cast("long") for b in bounds]), k) if bounds else F.lit(False)
+    opens = F.get(bounds_array(bounds), at - 1) == k if bounds else F.lit(False)
     places = F.concat(
         F.array(F.struct(at.alias("b"), F.lit(0).alias("ghost"))),
         F.when(F.coalesce(opens, F.lit(False)) & ~is_first, F.array(F.struct((at - 1).alias("b"), F.lit(1).alias("ghost")))).otherwise(F.array().cast("array<struct<b:int,ghost:int>>")),

@@ -1,0 +1,41 @@
+import bisect
+import random
+import time
+
+from pyspark.sql import functions as F
+
+from gridscan.llm.common import bucket_of, range_buckets
+
+
+def test_bucket_of_counts_bounds_up_to_the_key(spark):
+    r = random.Random(3)
+    for n in (0, 1, 2, 3, 7, 8, 33):
+        bounds = sorted(r.sample(range(-500, 500), n))
+        keys = [None, -(10**15), 10**15, *bounds, *[r.randrange(-600, 600) for _ in range(50)]]
+        rows = spark.createDataFrame([(k,) for k in keys], "k long").select("k", bucket_of(F.col("k"), bounds).alias("b")).collect()
+        assert all(x.b == (0 if x.k is None else bisect.bisect_right(bounds, x.k)) for x in rows)
+
+
+def test_many_bounds_stay_one_constant(spark):
+    bounds = list(range(0, 400_000, 4))
+    began = time.time()
+    rows = spark.range(0, 400_000, 1, 2).select("id", bucket_of(F.col("id"), bounds).alias("b"))
+    assert rows.where(F.col("b") != F.floor(F.col("id") / 4) + 1).count() == 0
+    assert time.time() - began < 60
+
+
+def test_ranges_hold_about_as_many_rows(spark):
+    r = random.Random(4)
+    dense = list(range(1000))  # a third of the rows in a tiny part of the keys' range
+    keys = dense + [r.randrange(10**15) for _ in range(2000)] + [None] * 5
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    bounds = range_buckets(df, "k", 20)
+    assert bounds == sorted(set(bounds)) and set(bounds) <= set(keys) and 15 <= len(bounds) + 1 <= 20
+    counts = [0] * (len(bounds) + 1)
+    for k in keys:
+        if k is not None:
+            counts[bisect.bisect_right(bounds, k)] += 1
+    assert max(counts) <= 3 * len(keys) / 20
+    assert range_buckets(df.limit(0), "k", 20) == []
+    same = spark.createDataFrame([(7,)] * 50, "k long")
+    assert len(range_buckets(same, "k", 5)) <= 1
