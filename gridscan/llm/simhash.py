@@ -13,6 +13,7 @@ pairs. Components come from alternating large and small stars, checkpointed each
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 from itertools import combinations, repeat
 
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import cut_lineage, input_partitions
 
 BITS = 64
 BLOCK = 16
@@ -214,11 +215,17 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-#: Near-dedup of documents: 1024-bit fingerprints of the set of 5-word shingles, linked at 180 bits or fewer.
-#: Texts whose shingle sets have a Jaccard likeness of 0.8 differ in 155 bits on average (deviation 11.5), of 0.7 in 197, of 0.5 in 274.
-LIKE_WIDTH, LIKE_WORDS, LIKE_RADIUS = 5, 16, 180
-#: Shards of near-dedup: eight keys, each of three least hashes. Texts of likeness 0.8 share one with probability 0.997.
-KEYS, KEY_HASHES = 8, 3
+#: Near-dedup of documents: candidates have 1024-bit fingerprints of their sets of 5-word shingles within 240 bits, and are linked
+#: if the sets' Jaccard likeness is LIKE_PART / LIKE_WHOLE or more. At 0.8 large sets differ in 155 bits on average (deviation 11.5),
+#: the sets that fare worst (four shingles against five) in 192 (deviation 12.5).
+LIKE_WIDTH, LIKE_WORDS, LIKE_RADIUS = 5, 16, 240
+LIKE_PART, LIKE_WHOLE = 4, 5
+#: Shards of near-dedup: ten keys, each of two least hashes. Texts of likeness 0.8 share one with probability 0.99996.
+KEYS, KEY_HASHES = 10, 2
+#: Groups of candidates above this size are parted by their shards' keys before their links are checked.
+GROUP_LIMIT = 4096
+#: Bytes of shingle sets that a task holds in memory; more of one group go to a temporary file.
+HELD_BYTES = 64 << 20
 #: Odd multiples of the golden ratio's 64-bit fraction: one per word of a shingle, one per word of a fingerprint.
 _ODD = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) & (1 << 64) - 1 for k in range(LIKE_WORDS + 1)], np.uint64)
 
@@ -281,17 +288,26 @@ def shard_keys(hashes: np.ndarray) -> list[int]:
 
 
 def _like_batches(batches):
+    from xxhash import xxh3_64_intdigest
+
     for b in batches:
-        prints, keys = [], []
+        nodes, prints, keys = [], [], []
         for t in b.column(2):
             h = shingle_set(t.as_py())
+            nodes.append(xxh3_64_intdigest(h.tobytes()))
             prints.append(like_fingerprint(h, LIKE_WORDS))
             keys.append(shard_keys(h))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["id", "text_key", "like", "keys"])
+        fps = pa.array(np.array(nodes, np.uint64).view(np.int64))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fps, pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["id", "text_key", "fp", "like", "keys"])
+
+
+def _link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    u, v = zip(*links)
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
 def _like_links(batches):
-    """Shards arrive whole and in order of their keys; one is held at a time."""
+    """Links that connect the candidates of each shard. Shards arrive whole and in order of their keys; one is held at a time."""
     now, held = None, {}
 
     def links():
@@ -305,25 +321,139 @@ def _like_links(batches):
             if key != now:
                 out += links()
                 now, held = key, {}
-            held[int.from_bytes(like, "little")] = node
+            first = held.setdefault(int.from_bytes(like, "little"), node)
+            if first != node:
+                out.append((first, node))
+        if out:
+            yield _link_batch(out)
+    if last := links():
+        yield _link_batch(last)
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted shingle sets have a Jaccard likeness of LIKE_PART / LIKE_WHOLE or more, exactly; empty sets are alike."""
+    if len(a) > len(b):
+        a, b = b, a
+    if LIKE_WHOLE * len(a) < LIKE_PART * len(b):
+        return False
+    if not len(a):
+        return True
+    both = np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a)
+    return bool(LIKE_WHOLE * both >= LIKE_PART * (len(a) + len(b) - both))
+
+
+class _Sets:
+    """Shingle sets by position; those beyond HELD_BYTES lie in a temporary file."""
+
+    def __init__(self) -> None:
+        self.held: list[np.ndarray | tuple[int, int]] = []
+        self.size = 0
+        self.file = None
+
+    def add(self, hashes: np.ndarray) -> None:
+        if self.size + hashes.nbytes <= HELD_BYTES:
+            self.size += hashes.nbytes
+            self.held.append(hashes)
+            return
+        if self.file is None:
+            self.file = tempfile.TemporaryFile()
+        self.held.append((self.file.seek(0, 2), len(hashes)))
+        self.file.write(hashes.tobytes())
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        x = self.held[i]
+        if isinstance(x, np.ndarray):
+            return x
+        self.file.seek(x[0])
+        return np.frombuffer(self.file.read(8 * x[1]), np.uint64)
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
+
+
+def verified_forest(values: list[int], sets, radius: int = LIKE_RADIUS) -> list[tuple[int, int]]:
+    """Pairs of positions that connect exactly what likeness connects among the candidates within the radius.
+
+    As in ``_forest`` a search ends once it has met every component there is so far, but components are
+    joined by pairs alone whose shingle sets are alike.
+    """
+    tree, up, out, parts = BKTree(), list(range(len(values))), [], 0
+    places: dict[int, list[int]] = {}
+
+    def root(i: int) -> int:
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    for i, v in enumerate(values):
+        met, mine = 0, sets[i]
+        for j in (j for at in tree.within(v, radius) for j in places[tree.values[at]]):
+            a, b = root(i), root(j)
+            if a != b and alike(mine, sets[j]):
+                up[a] = b
+                out.append((i, j))
+                met += 1
+                if met == parts:
+                    break
+        parts += 1 - met
+        tree.add(v)
+        places.setdefault(v, []).append(i)
+    return out
+
+
+def _verified_links(batches):
+    """Links whose shingle sets are alike. Groups arrive whole and in order; one is held at a time."""
+    now, nodes, values, sets = None, [], [], _Sets()
+
+    def links():
+        out = [(nodes[a], nodes[b]) for a, b in verified_forest(values, sets)]
+        sets.close()
+        return out
+
+    for b in batches:
+        out = []
+        for group, node, like, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3)):
+            if group != now:
+                out += links()
+                now, nodes, values, sets = group, [], [], _Sets()
+            if not nodes or nodes[-1] != node:
+                nodes.append(node)
+                values.append(int.from_bytes(like, "little"))
+                sets.add(shingle_set(text.as_py()))
         if out:
-            u, v = zip(*out)
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+            yield _link_batch(out)
     if last := links():
-        u, v = zip(*last)
-        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+        yield _link_batch(last)
 
 
 def _near(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """As ``_rooted``, for texts of likeness 0.8 or more; fp stands for a long fingerprint by its hash."""
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), _text_key(text_col).alias("text_key"), F.col(text_col).cast("binary").alias("text"))
-    rows = narrow.mapInArrow(_like_batches, "id long, text_key long, like binary, keys array<long>")
-    rows = cut_lineage(rows.withColumn("fp", F.xxhash64("like")))
-    distinct = rows.groupBy("fp").agg(F.min(F.struct("like", "keys")).alias("x"))
+    """As ``_rooted``, for texts of likeness 0.8 or more; fp stands for a shingle set by its hash.
+
+    Shards give candidate links. Each group that those connect goes to one task with a text of every
+    member, and only links whose shingle sets are alike count; a large group goes to a task for each
+    shard key of its members.
+    """
+    text = F.col(text_col).cast("binary")
+    narrow = docs.select(F.col(id_col).cast("long").alias("id"), _text_key(text_col).alias("text_key"), text.alias("text"))
+    rows = cut_lineage(narrow.mapInArrow(_like_batches, "id long, text_key long, fp long, like binary, keys array<long>"))
+    distinct = rows.groupBy("fp").agg(F.min(F.struct("like", "keys", "id", "text_key")).alias("x"))
     keyed = distinct.select(F.explode("x.keys").alias("key"), "fp", "x.like")
     links = keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_like_links, "u long, v long")
+    met = components(links)
+    met = cut_lineage(met.unionByName(met.select(F.col("root").alias("node"), "root").distinct()))
+    sizes = met.groupBy("root").agg(F.count("*").alias("size"))
+    parted = F.transform("x.keys", lambda k: F.xxhash64("root", k))
+    groups = F.when(F.col("size") > GROUP_LIMIT, parted).otherwise(F.array("root"))
+    members = met.join(sizes, "root").join(distinct, F.col("node") == F.col("fp"))
+    members = cut_lineage(members.select(F.col("x.id").alias("_n_id"), F.col("x.text_key").alias("_n_text"), groups.alias("groups"), "fp", "x.like"))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), _text_key(text_col).alias("text_key"), text.alias("text"))
+    texts = texts.join(members, F.col("id").eqNullSafe(F.col("_n_id")) & (F.col("text_key") == F.col("_n_text")))
+    texts = texts.select(F.explode("groups").alias("group"), "fp", "like", "text")
+    placed = texts.repartition(input_partitions(docs), "group").sortWithinPartitions("group", "fp")
+    roots = components(placed.mapInArrow(_verified_links, "u long, v long"))
     fps = rows.select("id", "text_key", "fp")
-    roots = components(links)
     nodes = fps.select("fp").distinct()
     return fps, cut_lineage(nodes.join(roots, nodes.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root")))
 
@@ -355,8 +485,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each group of near copies: that of the smallest id, rows without an id last, of equal ids the first by a hash of the text.
 
-    Near copies are texts whose 5-word shingles have a likeness of 0.8 or more, as their 1024-bit SimHashes
-    tell it; chains of near copies are one group. Blank texts are copies of each other.
+    Near copies are texts whose sets of 5-word shingles have a Jaccard likeness of 0.8 or more; SimHashes only find the
+    pairs, and every link is checked on the two sets. Chains of near copies are one group. Blank texts are copies of each other.
     """
     fps, named = _near(docs, id_col, text_col)
     place = F.struct(F.col("id").isNull().alias("n"), "id", "text_key")

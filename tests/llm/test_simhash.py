@@ -214,3 +214,59 @@ def test_dedup_keeps_one_row_without_ids_and_of_repeated_rows(spark, odd_docs, e
     assert simhash.simhash_dedup(empty_frame).count() == 0
     alone = [(None, "one text without an id", "", "", 0, 0, "")] * 3
     assert simhash.simhash_dedup(spark.createDataFrame(alone, SCHEMA)).count() == 1
+
+
+def exact_kept(docs):
+    """Least ids of the components that exact likeness of 0.8 or more connects."""
+    up = list(range(len(docs)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(docs)):
+        for j in range(i):
+            if likeness(docs[i][1], docs[j][1]) >= 0.8:
+                a, b = sorted((root(i), root(j)))
+                up[b] = a
+    return sorted(docs[k][0] for k in {root(i) for i in range(len(docs))})
+
+
+def families(r, count):
+    """Texts with changed words, whose likeness to each other lies about 0.8."""
+    docs = []
+    for _ in range(count):
+        words = [f"w{r.randrange(10**5)}" for _ in range(r.choice((9, 60, 300, 500)))]
+        docs.append(" ".join(words))
+        for _ in range(6):
+            copy = list(words)
+            for _ in range(max(1, round(len(words) * r.choice((0.005, 0.01, 0.02, 0.03))))):
+                copy[r.randrange(len(copy))] = f"new{r.randrange(10**6)}"
+            docs.append(" ".join(copy + words[: r.randrange(2)]))
+    return [(i, t, "en", "s", 0, 0, "") for i, t in enumerate(docs)]
+
+
+def test_only_and_all_exact_near_copies_go(spark, monkeypatch):
+    docs = families(random.Random(15), 30)
+    want = exact_kept(docs)
+    near = [likeness(docs[i][1], docs[i + 1][1]) for i in range(0, len(docs), 7)]
+    assert any(0.65 <= x < 0.8 for x in near) and 60 < len(want) < len(docs) - 30
+    frame = spark.createDataFrame(docs, SCHEMA)
+    assert sorted(x.doc_id for x in simhash.simhash_dedup(frame).collect()) == want
+    monkeypatch.setattr(simhash, "GROUP_LIMIT", 2)
+    assert sorted(x.doc_id for x in simhash.simhash_dedup(frame).collect()) == want
+
+
+def test_sets_beyond_memory_and_equal_fingerprints(monkeypatch):
+    monkeypatch.setattr(simhash, "HELD_BYTES", 4000)
+    r = np.random.default_rng(16)
+    whole = [np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (0, 5, 100, 400, 400)]
+    sets = simhash._Sets()
+    for x in whole:
+        sets.add(x)
+    assert sets.file is not None and all(np.array_equal(sets[i], x) for i, x in enumerate(whole))
+    sets.close()
+    assert simhash.alike(whole[0], whole[0]) and not simhash.alike(whole[0], whole[1])
+    assert simhash.alike(whole[2], whole[2][:80]) and not simhash.alike(whole[2], whole[2][:79])
+    assert simhash.verified_forest([7, 7, 7], [whole[2], whole[3], whole[2][5:]]) == [(2, 0)]
