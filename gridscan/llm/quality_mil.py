@@ -18,8 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: At most so many labelled documents are learned from, and so many evenly spaced passages of each.
+#: At most so many labelled documents are learned from, by all their passages.
 SAMPLE = 4096
+#: Passages of a bag by ``_bag``, which training doesn't use.
 TRAIN_PASSAGES = 64
 PASSAGE = 512
 CHUNK = 1 << 20
@@ -153,6 +154,11 @@ def _bag(text: bytes) -> np.ndarray:
     return np.concatenate([passage_features([(text[i * PASSAGE : (i + 1) * PASSAGE], len(text))])[0] for i in at.tolist()])
 
 
+def _whole_bag(text: bytes) -> np.ndarray:
+    """Features of all passages, encoded in chunks."""
+    return np.concatenate([passage_features([piece])[0] for piece in _pieces(text)])
+
+
 def train(bags: list[np.ndarray], labels: np.ndarray) -> Model:
     """A fitted model; without examples its scores are 0.5."""
     if not bags:
@@ -176,7 +182,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_l_id")).select("_l_order", "_l_label", F.coalesce(F.col(text_col).cast("binary"), F.lit("").cast("binary")).alias("text"))
 
     def learn(batches):
-        examples = [(o, y, _bag(t.as_py())) for b in batches for o, y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2))]
+        examples = [(o, y, _whole_bag(t.as_py())) for b in batches for o, y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2))]
         model = train([x for _, _, x in examples], np.array([y for _, y, _ in examples]))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 

@@ -63,3 +63,21 @@ def test_gradients():
     model = quality_mil.train(bags, labels)
     right = [(model.score(*model.encode(b)) > 0.5) == y for b, y in zip(bags, labels)]
     assert np.mean(right) > 0.95
+
+
+def test_training_takes_every_passage_of_a_long_text(spark, monkeypatch):
+    """Two frames whose long texts differ in one passage that evenly spaced 64 of 196 leave out."""
+    r = np.random.default_rng(2)
+    text = bytes(r.integers(97, 123, 100_000, dtype=np.uint8)).decode()
+    other = text[:512] + "7" * 512 + text[1024:]
+    assert np.array_equal(quality_mil._bag(text.encode()), quality_mil._bag(other.encode()))
+    ids = [i for i in range(20) if zlib.crc32(str(i).encode()) % 4 != 2][:2]
+    labels = spark.createDataFrame([(i, k) for k, i in enumerate(ids)], "doc_id long, quality int")
+    models = []
+    for t in (text, other):
+        docs = spark.createDataFrame([(ids[0], t, "", "", 0, 0, ""), (ids[1], "short", "", "", 0, 0, "")], SCHEMA)
+        models.append(quality_mil.fit_model(docs, labels))
+    assert models[0] != models[1]
+    whole = quality_mil._whole_bag(text.encode())
+    monkeypatch.setattr(quality_mil, "CHUNK", 1024)
+    assert len(whole) == 196 and np.array_equal(whole, quality_mil._whole_bag(text.encode()))
