@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import SparkSession
 
-from ..fixtures import Raw, Serial, table_rows, write_book
+from ..fixtures import CELL_LIMIT, Raw, Serial, table_rows, write_book
 
 Rows = Iterable[list]
 
@@ -33,14 +33,14 @@ def _local_table(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str]
 
 
 def rows_of(spark: SparkSession, sf_dir: str, name: str) -> Rows:
-    """Header and rows of a table."""
+    """Header and rows of a table; text is clipped to the cell limit, however the table is stored."""
     path, _ = _local_table(spark, sf_dir, name)
     if path and os.path.isfile(path):
         yield from table_rows(path)
         return
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     yield df.columns
-    yield from (list(r) for r in df.toLocalIterator())
+    yield from ([v[:CELL_LIMIT] if isinstance(v, str) else v for v in r] for r in df.toLocalIterator())
 
 
 def book(spark: SparkSession, sf_dir: str, variant: str, tables: list[str], make: Callable[..., dict[str, Rows]], dimension: str | None = None) -> str:

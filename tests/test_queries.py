@@ -27,3 +27,17 @@ def test_query_equals_sql(spark, db, name):
     want = db.execute(f"SELECT {', '.join(chr(34) + c + chr(34) for c in df.columns)} FROM ({ORACLE_SQL[name]}) q").fetchall()
     got = [tuple(r) for r in df.collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def test_rows_of_a_table_do_not_depend_on_how_it_is_stored(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from gridscan.plans.books import rows_of
+
+    table = pa.table({"k": [1, 2, 3], "text": ["x" * 40_000, None, "y"]})
+    (tmp_path / "folder" / "t.parquet").mkdir(parents=True)
+    pq.write_table(table, tmp_path / "t.parquet")
+    pq.write_table(table, tmp_path / "folder" / "t.parquet" / "part-0.parquet")
+    file, folder = (list(rows_of(spark, str(d), "t")) for d in (tmp_path, tmp_path / "folder"))
+    assert file == folder and len(file[1][1]) == 32_767
