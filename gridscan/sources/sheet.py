@@ -11,7 +11,6 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 from itertools import islice
-from xml.parsers.expat import ExpatError
 
 import numpy as np
 import pyarrow as pa
@@ -57,13 +56,9 @@ def bind(options: opts.ScanOptions) -> Scan:
         start = xml.head(sheet, options.skip_rows + PROBE_ROWS + 2)
         strings = None
         found = []
-        try:
-            probe = (r for r in xml.parsed(iter([start])) if r[0] > options.skip_rows)
-            for row in islice(probe, PROBE_ROWS + 2):
-                found.append(row)
-        except ExpatError:
-            if len(start) >= sheet.size:
-                raise
+        probe = (r for r in xml.parsed(xml.inflated(sheet)) if r[0] > options.skip_rows)
+        for row in islice(probe, PROBE_ROWS + 2):
+            found.append(row)
         first = []
         for number, cells in found:
             kinds = {}

@@ -336,3 +336,14 @@ def test_writer_is_plain(tmp_path):
     w.add("s", [[1]])
     w.close()
     assert zipfile.ZipFile(tmp_path / "a.xlsx").testzip() is None
+
+
+def test_types_are_told_behind_a_long_skip(make, monkeypatch):
+    """The rows to skip are longer than the head of the sheet that is held."""
+    r = random.Random(3)
+    skipped = [[r.random() for _ in range(6)] for _ in range(3000)]
+    path = make(*skipped, *X01, ["v", 3, None])
+    want = read(path, skip_rows="3000")
+    monkeypatch.setattr(sheets.xml, "BLOCK", 1024)
+    assert read(path, skip_rows="3000")[:2] == want[:2] == (["a", "b", "c"], read(make(*X01))[1])
+    assert read(path, skip_rows="3000")[2] == want[2]
