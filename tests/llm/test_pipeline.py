@@ -1,9 +1,16 @@
+import math
+import zlib
 from collections import Counter
 
+import numpy as np
+
 import corpus_pipeline
 from gridscan.llm import mixing, simhash
 
+from .test_mixing import targets, words
+from .test_packing import plain
 from .test_quality_rules import brute, verdict
+from .test_simhash import exact_kept
 from .test_suffix_dedup import local
 
 
@@ -48,3 +55,39 @@ def test_run_matches_small_table(spark):
     left = {k for k in kept if not any(j < k and docs[j] == docs[k] for j in kept)}
     assert {r.doc_id for r in rows} <= left and len({r.doc_id for r in rows}) > 0.3 * len(left)
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_run_rows_of_every_stage_by_plain_references(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "scratch_dir", lambda s, what: f"{tmp_path}/p")
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    ruled, near, cut, mixed = (spark.read.parquet(f"{tmp_path}/p/{k}").collect() for k in range(4))
+    want = sorted(r for r in docs if verdict(brute(r.text)))
+    assert sorted(ruled) == want
+    left = set(exact_kept([(r.doc_id, r.text) for r in want]))
+    want = [r for r in want if r.doc_id in left]
+    assert sorted(near) == want
+    passages = local([(r.doc_id, r.text) for r in want])
+    assert sorted(r.doc_id for r in cut) == sorted(left)
+    sizes, largest = Counter(), Counter()
+    for r in cut:
+        n, gone, _, _ = passages[r.doc_id]
+        assert n - gone - 8 <= len(r.text.encode()) <= n - gone and r.n_chars == len(r.text)
+        sizes[r.source] += words(r.text)
+        largest[r.source] = max(largest[r.source], words(r.text))
+    copies, goal, taken = Counter(r.doc_id for r in mixed), targets(sizes), Counter()
+    by_id = {r.doc_id: r for r in cut}
+    assert all(r == by_id[r.doc_id] for r in mixed)
+    for r in cut:
+        rate = goal[r.source] / sizes[r.source] if sizes[r.source] else 0
+        assert math.floor(rate - 1e-9) <= copies[r.doc_id] <= math.ceil(rate + 1e-9)
+        taken[r.source] += copies[r.doc_id] * words(r.text)
+    assert all(abs(taken[s] - goal[s]) <= largest[s] for s in sizes)
+    encode, heads, tokens = plain(), Counter(), Counter()
+    ids = {k: [*encode(by_id[k].text), 1] for k in copies}
+    for p in out:
+        part = np.array(ids[p.doc_id][p.start : p.start + p.length], "<u4")
+        assert len(part) == p.length > 0 and p.ids_crc32 == zlib.crc32(part.tobytes())
+        heads[p.doc_id] += p.start == 0
+        tokens[p.doc_id] += p.length
+    assert heads == copies and tokens == {k: n * len(ids[k]) for k, n in copies.items()}
