@@ -1,11 +1,14 @@
-"""Files in the folder that driver and executors share: written under a temporary name, then renamed."""
+"""Files in the folder that driver and executors share: written under a temporary name, then renamed, and listed in a manifest table."""
 
 from __future__ import annotations
 
-import json
 import uuid
 from contextlib import contextmanager
 
+from pyspark.sql import DataFrame
+
+_TEMPORARY = "_temporary_files"
+
 
 def open_store(uri: str):
     """(file system, path) of a folder given as a path or URI."""
@@ -18,20 +21,28 @@ def open_store(uri: str):
 def committed(uri: str, name: str):
     """An output stream whose bytes appear under ``name`` only once all are written; a repeated task replaces the file by an equal one."""
     store, top = open_store(uri)
-    store.create_dir(f"{top}/_temporary_files", recursive=True)
-    temporary = f"{top}/_temporary_files/{name}.{uuid.uuid4().hex}"
+    store.create_dir(f"{top}/{_TEMPORARY}", recursive=True)
+    temporary = f"{top}/{_TEMPORARY}/{name}.{uuid.uuid4().hex}"
     with store.open_output_stream(temporary) as out:
         yield out
     store.move(temporary, f"{top}/{name}")
 
 
-def write_manifest(uri: str, files: list[dict], **more) -> None:
-    """The list of files that make up the output; readers take no others."""
-    with committed(uri, "_manifest.json") as out:
-        out.write(json.dumps({"files": files, **more}, sort_keys=True).encode())
-
+def drop_temporary(uri: str) -> None:
+    """Delete what attempts that broke off have left."""
+    from pyarrow import fs
 
-def read_manifest(uri: str) -> dict:
     store, top = open_store(uri)
-    with store.open_input_stream(f"{top}/_manifest.json") as f:
-        return json.loads(f.read())
+    if store.get_file_info(f"{top}/{_TEMPORARY}").type == fs.FileType.Directory:
+        store.delete_dir(f"{top}/{_TEMPORARY}")
+
+
+def save_table(df: DataFrame, uri: str, name: str) -> DataFrame:
+    """df written as Parquet below the folder and read again; running its tasks writes the files that its rows list."""
+    df.write.mode("overwrite").parquet(f"{uri}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{uri}/{name}")
+
+
+def spread(manifest: DataFrame) -> DataFrame:
+    """A manifest's rows dealt to about a task each; their number comes from the Parquet footers."""
+    return manifest.repartition(max(1, min(manifest.count(), 1 << 17)))

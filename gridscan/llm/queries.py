@@ -35,8 +35,8 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     uri = scratch_dir(spark, "warc")
-    files = warc.write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet"), uri)
-    return warc.read_warc(spark, uri, files).drop("url")
+    manifest = warc.write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet"), uri)
+    return warc.read_warc(manifest, uri).drop("url")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,17 +16,17 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_of, input_partitions, range_buckets, scratch_dir
-from .files import committed, write_manifest
+from .common import input_partitions, range_buckets, scratch_dir
+from .files import committed, drop_temporary, open_store, save_table, spread
 from .tokenize import default_vocabulary, encoder
 
 END_ID = 2
 MAGIC = b"GSV1"
 #: A file is closed once it holds so many ids.
-ROLL = 2 << 20
+ROLL = 4 << 20
 _LENGTHS = (np.arange(256, dtype=np.uint8)[:, None] >> np.arange(0, 8, 2, dtype=np.uint8) & 3) + 1
 _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
@@ -98,10 +98,14 @@ def parse_file(raw: bytes) -> list[tuple[int | None, np.ndarray]]:
     return [(k if t else None, ids[e - c : e]) for k, t, c, e in zip(keys, there, counts.tolist(), ends.tolist())]
 
 
-def write_token_files(docs: DataFrame, uri: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, roll: int = ROLL) -> list[dict]:
-    """Write all texts in ascending order of id (null first, equal ids by text hash) and return the manifest's files.
+_FILES = pa.schema([("name", pa.string()), *[(c, pa.int64()) for c in ("bucket", "number", "docs", "ids", "bytes")]])
+
 
-    Null texts count as empty; every document ends with id 2.
+def write_token_files(docs: DataFrame, uri: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, roll: int = ROLL) -> DataFrame:
+    """Write all texts in ascending order of id and return the manifest: a table of files with the ids before each, stored beside them.
+
+    Null and empty texts hold the end id (2) alone, long ones are never cut. Rows without an id come first, equal ids go by text hash,
+    repeated rows are written as often as they occur; an empty table gives no files.
     """
     path = vocabulary or default_vocabulary()
     end = np.array([END_ID], "<u4").tobytes()
@@ -110,10 +114,10 @@ def write_token_files(docs: DataFrame, uri: str, id_col: str = "doc_id", text_co
         encode = encoder(path)
         held: list[tuple[int | None, np.ndarray]] = []
         size, now, number = 0, None, 0
-        rows: list[dict] = []
 
         def close():
             nonlocal held, size, number
+            rows = []
             if held:
                 name = f"tokens-{now:06d}-{number:06d}.gsv"
                 raw = file_bytes(held)
@@ -121,48 +125,50 @@ def write_token_files(docs: DataFrame, uri: str, id_col: str = "doc_id", text_co
                     out.write(raw)
                 rows.append({"name": name, "bucket": now, "number": number, "docs": len(held), "ids": sum(len(v) for _, v in held), "bytes": len(raw)})
             held, size, number = [], 0, number + 1
+            return pa.RecordBatch.from_pylist(rows, schema=_FILES)
 
         for b in batches:
             for bucket, key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 if bucket != now:
-                    close()
+                    yield close()
                     now, number = bucket, 0
                 v = np.frombuffer(encode(text.as_py()) + end, "<u4")
                 held.append((key, v))
                 size += len(v)
                 if size >= roll:
-                    close()
-        close()
-        yield pa.RecordBatch.from_pylist(rows, schema=_FILES)
+                    yield close()
+        yield close()
 
     parts = input_partitions(docs)
-    bounds = range_buckets(docs, id_col, parts)
-    rows = docs.select(bucket_of(F.col(id_col).cast("long"), bounds).alias("bucket"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "id", F.xxhash64("text"))
-    files = sorted(rows.mapInArrow(write, "name string, bucket long, number long, docs long, ids long, bytes long").toArrow().to_pylist(), key=lambda f: (f["bucket"], f["number"]))
-    start = 0
-    for f in files:
-        f["start"] = start
-        start += f["ids"]
-    write_manifest(uri, files, ids=start)
-    return files
+    ranges = range_buckets(docs, id_col, parts)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
+    rows = rows.select(ranges.bucket(F.col("id"), F.col("tie")).cast("long").alias("bucket"), "id", "text", "tie")
+    rows = rows.repartitionById(ranges.buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "id", "tie")
+    written = rows.select("bucket", "id", "text").mapInArrow(write, "name string, bucket long, number long, docs long, ids long, bytes long")
+    files = save_table(written, uri, "files")
+    drop_temporary(uri)
+    return save_table(with_starts(files), uri, "manifest")
 
 
-_FILES = pa.schema([("name", pa.string()), *[(c, pa.int64()) for c in ("bucket", "number", "docs", "ids", "bytes")]])
+def with_starts(files: DataFrame) -> DataFrame:
+    """files with ``start``, the ids before each: those of earlier buckets (one row a bucket is summed in order) and of earlier files of its own."""
+    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = files.groupBy("bucket").agg(F.sum("ids").alias("n")).select("bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    own = Window.partitionBy("bucket").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    return files.withColumn("own", F.coalesce(F.sum("ids").over(own), F.lit(0))).join(totals, "bucket").select("name", "docs", "ids", "bytes", (F.col("before") + F.col("own")).alias("start"))
 
 
-def read_token_files(spark, uri: str, files: list[dict], digest: bool = False) -> DataFrame:
+def read_token_files(manifest: DataFrame, uri: str, digest: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids): the documents of the files in a manifest; with ``digest`` the CRC-32 of the ids in their place."""
-    starts = spark.sparkContext.broadcast({f["name"]: f["start"] for f in files})
 
     def read(batches):
+        store, top = open_store(uri)
         for b in batches:
-            for name, raw in zip(b.column(0).to_pylist(), b.column(1)):
-                start = starts.value.get(name.rsplit("/", 1)[-1])
-                if start is None:
-                    continue
+            for name, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                with store.open_input_stream(f"{top}/{name}", compression=None) as stream:
+                    raw = stream.read()
                 out = []
-                for key, v in parse_file(raw.as_py()):
+                for key, v in parse_file(raw):
                     raw_ids = v.tobytes()
                     out.append((key, start, len(v), zlib.crc32(raw_ids) if digest else raw_ids))
                     start += len(v)
@@ -171,15 +177,10 @@ def read_token_files(spark, uri: str, files: list[dict], digest: bool = False) -
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64() if digest else pa.binary())
     names = ["doc_id", "start", "n_tokens", "ids_crc32" if digest else "ids"]
     schema = f"doc_id long, start long, n_tokens long, {'ids_crc32 long' if digest else 'ids binary'}"
-    if not files:
-        return spark.createDataFrame([], schema)
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.gsv").load(uri).select("path", "content")
-    return found.mapInArrow(read, schema)
+    return spread(manifest.select("name", "start")).mapInArrow(read, schema)
 
 
 def token_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) as read back from files written in the shared folder."""
-    spark = docs.sparkSession
-    uri = scratch_dir(spark, "tokens")
-    files = write_token_files(docs, uri, id_col, text_col, vocabulary)
-    return read_token_files(spark, uri, files, digest=True)
+    """(doc_id, start, n_tokens, ids_crc32) as read back from files written in the shared folder; odd rows as in ``write_token_files``."""
+    uri = scratch_dir(docs.sparkSession, "tokens")
+    return read_token_files(write_token_files(docs, uri, id_col, text_col, vocabulary), uri, digest=True)

@@ -2,40 +2,129 @@ import bisect
 import random
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
-from gridscan.llm.common import bucket_of, range_buckets
+from gridscan.llm.common import Ranges, clean_scratch, cut_lineage, drop_checkpoint, helper_prefix, input_partitions, range_buckets, ranked, scratch_dir, shared_dir
 
 
-def test_bucket_of_counts_bounds_up_to_the_key(spark):
+def test_bucket_counts_bounds_up_to_the_key(spark):
     r = random.Random(3)
     for n in (0, 1, 2, 3, 7, 8, 33):
         bounds = sorted(r.sample(range(-500, 500), n))
         keys = [None, -(10**15), 10**15, *bounds, *[r.randrange(-600, 600) for _ in range(50)]]
-        rows = spark.createDataFrame([(k,) for k in keys], "k long").select("k", bucket_of(F.col("k"), bounds).alias("b")).collect()
-        assert all(x.b == (0 if x.k is None else bisect.bisect_right(bounds, x.k)) for x in rows)
+        ranges = Ranges(tuple(bounds), 1, (1,) * (n + 1))
+        rows = spark.createDataFrame([(k,) for k in keys], "k long").select("k", ranges.bucket(F.col("k"), F.xxhash64("k")).alias("b")).collect()
+        assert all(x.b == (0 if x.k is None else 1 + bisect.bisect_right(bounds, x.k)) for x in rows)
+        assert ranges.buckets == n + 2
 
 
 def test_many_bounds_stay_one_constant(spark):
     bounds = list(range(0, 400_000, 4))
+    ranges = Ranges(tuple(bounds), 1, (1,) * (len(bounds) + 1))
     began = time.time()
-    rows = spark.range(0, 400_000, 1, 2).select("id", bucket_of(F.col("id"), bounds).alias("b"))
-    assert rows.where(F.col("b") != F.floor(F.col("id") / 4) + 1).count() == 0
+    rows = spark.range(0, 400_000, 1, 2).select("id", ranges.bucket(F.col("id"), F.xxhash64("id")).alias("b"))
+    assert rows.where(F.col("b") != F.floor(F.col("id") / 4) + 2).count() == 0
     assert time.time() - began < 60
 
 
+def largest_share(spark, keys, buckets):
+    """Rows of the fullest bucket; buckets must follow the order of (key, tie)."""
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i long")
+    ranges = range_buckets(df, "k", buckets)
+    rows = df.select("k", F.xxhash64("i").alias("t"), ranges.bucket(F.col("k"), F.xxhash64("i")).alias("b")).collect()
+    order = sorted(rows, key=lambda x: (x.k is not None, x.k or 0, x.t))
+    assert [x.b for x in order] == sorted(x.b for x in rows) and all(0 <= x.b < ranges.buckets for x in rows)
+    counts = {}
+    for x in rows:
+        counts[x.b] = counts.get(x.b, 0) + 1
+    return max(counts.values()), ranges
+
+
 def test_ranges_hold_about_as_many_rows(spark):
     r = random.Random(4)
     dense = list(range(1000))  # a third of the rows in a tiny part of the keys' range
     keys = dense + [r.randrange(10**15) for _ in range(2000)] + [None] * 5
-    df = spark.createDataFrame([(k,) for k in keys], "k long")
-    bounds = range_buckets(df, "k", 20)
-    assert bounds == sorted(set(bounds)) and set(bounds) <= set(keys) and 15 <= len(bounds) + 1 <= 20
-    counts = [0] * (len(bounds) + 1)
-    for k in keys:
-        if k is not None:
-            counts[bisect.bisect_right(bounds, k)] += 1
-    assert max(counts) <= 3 * len(keys) / 20
-    assert range_buckets(df.limit(0), "k", 20) == []
-    same = spark.createDataFrame([(7,)] * 50, "k long")
-    assert len(range_buckets(same, "k", 5)) <= 1
+    most, ranges = largest_share(spark, keys, 20)
+    assert list(ranges.bounds) == sorted(set(ranges.bounds)) and set(ranges.bounds) <= set(keys) and 15 <= len(ranges.bounds) + 1 <= 20
+    assert most <= 3 * len(keys) / 20
+    assert range_buckets(spark.createDataFrame([], "k long"), "k", 20) == Ranges((), 1, (1,), None, False)
+
+
+@pytest.mark.parametrize("hot", ["nulls", "one", "first", "last", "two"])
+def test_a_hot_key_is_split(spark, hot):
+    """Nulls or one id that hold up to all rows never make one bucket."""
+    rest = list(range(100, 400))
+    keys = {"nulls": [None] * 2700 + rest, "one": [7] * 3000, "first": [1] * 1500 + rest, "last": rest + [10**12] * 1500, "two": [200] * 1500 + [None] * 1500 + rest}[hot]
+    most, _ = largest_share(spark, keys, 16)
+    assert most <= 2 * len(keys) / 16
+
+
+def test_ranks_within_groups(spark):
+    r = random.Random(5)
+    rows = [(r.choice(["a", None, "b"]) if i % 3 else "a", r.randrange(40), i % 2) for i in range(900)]
+    got = ranked(spark.createDataFrame(rows, "g string, v int, _r_at int"), ["g"], ["v"], 5, "place")
+    assert got.columns == ["g", "v", "_r_at", "place"]
+    by = {}
+    for x in got.collect():
+        by.setdefault(x.g, []).append((x.place, x.v))
+    assert sum(map(len, by.values())) == len(rows)
+    for g, v in by.items():
+        assert [p for p, _ in sorted(v)] == list(range(len(v))) and [x for _, x in sorted(v)] == sorted(y for h, y, _ in rows if h == g)
+    everything = ranked(spark.createDataFrame(rows, "g string, v int, w int"), [], ["g", "v"], 5, "place")
+    assert sorted(x.place for x in everything.collect()) == list(range(len(rows)))
+
+
+def test_helper_names_keep_clear_of_columns():
+    assert helper_prefix(["a"], "_q_") == "_q_"
+    assert helper_prefix(["_Q_x", "_q_1_y"], "_q_") == "_q_2_"
+
+
+def test_scratch_is_deleted(spark):
+    import os
+
+    path = scratch_dir(spark, "t")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file://").removeprefix("file:")
+    assert os.path.isdir(local) and clean_scratch(spark) >= 1 and not os.path.exists(local)
+    kept = cut_lineage(spark.range(5).toDF("k"))
+    assert kept.count() == 5
+    top = shared_dir(spark).removeprefix("file://").removeprefix("file:")
+    n = sum(f.startswith("part-") for _, _, fs in os.walk(top) for f in fs)
+    drop_checkpoint(kept)
+    assert sum(f.startswith("part-") for _, _, fs in os.walk(top) for f in fs) < n
+
+
+def test_partitions_of_inputs_without_files(spark):
+    frame = cut_lineage(spark.range(100, numPartitions=3).toDF("k"))
+    assert input_partitions(frame) >= 2
+    wide = spark.createDataFrame(spark.sparkContext.parallelize([(1,)], 40), "k long")
+    assert input_partitions(wide) >= 4
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Fake:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+            class _jsc:
+                @staticmethod
+                def sc():
+                    class S:
+                        @staticmethod
+                        def getCheckpointDir():
+                            class O:
+                                isDefined = staticmethod(lambda: False)
+
+                            return O
+
+                    return S
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Fake)

@@ -1,7 +1,10 @@
+import functools
 import hashlib
+import random
 import re
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from gridscan.llm import fingerprint, queries
@@ -57,15 +60,69 @@ def test_odd_texts(odd_frame, odd_docs, empty_frame):
     assert fingerprint.fingerprint_report(empty_frame).count() == 0
 
 
+def signed(text):
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def check_next(spark, rows, buckets):
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1])))
+    want = {r[1]: order[(i + 1) % len(order)][1] for i, r in enumerate(order)}
+    frame = spark.createDataFrame(rows, SCHEMA).withColumn("_n_b", F.lit(3))
+    out = fingerprint.with_next(frame, "doc_id", F.xxhash64("text"), ["text"], buckets)
+    assert {r.text: r.next_text for r in out.collect()} == want and out.columns == [*frame.columns, "next_text"]
+
+
 @pytest.mark.parametrize("buckets", [1, 2, 5, 40])
 def test_next_row_over_ranges(spark, buckets):
     rows = [(None, "n1", "", "", 0, 0, ""), (None, "n0", "", "", 0, 0, "")] + [(i // 2, f"t{i:03d}", "", "", 0, 0, "") for i in range(5, 60)]
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
-    want = {r[1]: order[(i + 1) % len(order)][1] for i, r in enumerate(order)}
-    out = fingerprint.with_next(spark.createDataFrame(rows, SCHEMA), "doc_id", ["text"], ["text"], buckets)
-    assert {r.text: r.next_text for r in out.collect()} == want
-    one = fingerprint.with_next(spark.createDataFrame(rows[3:4], SCHEMA), "doc_id", ["text"], ["text"], buckets).first()
-    assert one.next_text == one.text
+    check_next(spark, rows, buckets)
+    check_next(spark, rows[3:4], buckets)
+    check_next(spark, rows[:2], buckets)
+
+
+@pytest.mark.parametrize("buckets", [3, 16])
+def test_next_row_with_hot_keys(spark, buckets):
+    """Nine tenths of the rows without an id, or with one id: they are dealt to many ranges, and the order still runs through."""
+    for key in (None, 4, -9, 99):
+        check_next(spark, [(key if i % 10 else i, f"t{i:03d}", "", "", 0, 0, "") for i in range(300)], buckets)
+    check_next(spark, [((None, 7, i)[i % 3], f"t{i:03d}", "", "", 0, 0, "") for i in range(300)], buckets)
+
+
+def bins(text):
+    """One-permutation MinHash by plain loops: bin -> low bits."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if not w:
+        return []
+    hash_of = lambda words: functools.reduce(lambda seed, x: xxhash.xxh64_intdigest(x.encode(), seed), words, 42)
+    least = {}
+    for h in map(hash_of, {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}):
+        s = h - (1 << 64) if h >> 63 else h
+        b = (s >> 56) + 128
+        least[b] = min(s, least.get(b, s))
+
+    def of(*numbers):
+        seed = 42
+        for n, size in numbers:
+            seed = xxhash.xxh64_intdigest(n.to_bytes(size, "little", signed=True), seed)
+        return seed - (1 << 64) if seed >> 63 else seed
+
+    out = []
+    for j in range(256):
+        tries = [of((j, 4), (a, 4)) % 256 for a in range(1, 7)]
+        b = next((x for x in [j, *tries] if x in least), None)
+        if b is None:
+            b = min(least, key=lambda x: (of((j, 4), (x - 128, 8)) >> 8, least[x] & 255))
+        out.append(least[b] & 255)
+    return out
+
+
+def test_bins_and_densification_by_plain_loops(spark):
+    r = random.Random(6)
+    texts = ["", " ", "a", "a b c d e", "a b c d e f"] + [" ".join(r.choice(["x", "y", "é", "zz", "w1"]) + str(r.randrange(60)) for _ in range(n)) for n in (7, 12, 30, 80, 300, 1500)]
+    rows = [(i, t, "", "", 0, 0, "") for i, t in enumerate(texts)]
+    got = fingerprint.with_fingerprint(spark.createDataFrame(rows, SCHEMA).withColumn("_fp_h", F.lit(1)), F.col("text"), "fp").collect()
+    assert all([x & 255 for x in g.fp] == bins(g.text) and g["_fp_h"] == 1 for g in got)
 
 
 def test_empty_bins_borrow_alike(spark):

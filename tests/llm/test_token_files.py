@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from gridscan.llm import queries, token_files
 
@@ -41,15 +42,29 @@ def test_null_and_repeated_ids(spark, odd_docs):
 
 
 def test_files_are_rolled_listed_and_the_same_again(spark, odd_frame, tmp_path):
-    a, b = (token_files.write_token_files(odd_frame, f"file://{tmp_path}/{x}", roll=500) for x in "ab")
+    a, b = (sorted(map(tuple, token_files.write_token_files(odd_frame, f"file://{tmp_path}/{x}", roll=500).collect())) for x in "ab")
     assert a == b and len(a) > 10
-    for f in a:
-        assert (tmp_path / "a" / f["name"]).read_bytes() == (tmp_path / "b" / f["name"]).read_bytes()
+    assert [f[-1] for f in a] == np.cumsum([0, *(f[2] for f in a)])[:-1].tolist()
+    for name, *_ in a:
+        assert (tmp_path / "a" / name).read_bytes() == (tmp_path / "b" / name).read_bytes()
+
+
+def test_documents_without_ids_and_one_id_are_dealt_to_many_files(spark, tmp_path):
+    for k, key in enumerate((None, 5)):
+        rows = [(key if i % 10 else i, f"text number {i} " * 3, "", "", 0, 0, "") for i in range(600)]
+        uri = f"file://{tmp_path}/{k}"
+        manifest = token_files.write_token_files(spark.createDataFrame(rows, SCHEMA).repartition(4), uri)
+        assert max(f.docs for f in manifest.collect()) <= 0.6 * len(rows)
+        got = sorted(token_files.read_token_files(manifest, uri).collect(), key=lambda r: r.start)
+        encode = plain()
+        h = lambda t: xxhash.xxh64_intdigest(t.encode(), 42)
+        order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, h(r[1]) - (h(r[1]) >> 63 << 64)))
+        assert [(r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in got] == [(r[0], [*encode(r[1]), 2]) for r in order]
 
 
 def test_ids_read_back(spark, odd_frame, odd_docs, tmp_path):
     uri = f"file://{tmp_path}/t"
-    rows = token_files.read_token_files(spark, uri, token_files.write_token_files(odd_frame, uri)).collect()
+    rows = token_files.read_token_files(token_files.write_token_files(odd_frame, uri), uri).collect()
     encode, texts = plain(), {d[0]: d[1] for d in odd_docs}
     assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rows} == {k: [*encode(t), 2] for k, t in texts.items()}
 
