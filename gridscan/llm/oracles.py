@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .chat_format import CONTROLS
-from .mixing import MAX_COPIES, OFFSETS, WEIGHTS
+from .mixing import LARGE, MAX_COPIES, WEIGHTS
 from .quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS, STOP_WORDS, THRESHOLDS
 
 _SPLIT = r"regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+')"
@@ -49,21 +49,25 @@ levels AS (
 level AS (SELECT arg_min(rest / open, (ratio, rest / open)) AS level FROM levels WHERE rest / open <= ratio),
 targets AS (
     SELECT source, source_size, least(CAST({MAX_COPIES} * source_size AS DOUBLE), level * w) AS target,
-        ('0x' || substr(md5(coalesce('s:' || source, '')), 1, 6))::INTEGER / 16777216.0::DOUBLE AS start
+        ('0x' || substr(md5(coalesce('s:' || source, '')), 1, 6))::INTEGER / 16777216.0::DOUBLE AS apart,
+        ('0x' || substr(md5(coalesce('s:' || source, '')), 7, 6))::INTEGER / 16777216.0::DOUBLE AS start
     FROM levels, level),
 ranked AS (
-    SELECT s.*, t.source_size, t.target, t.start, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS rate,
+    SELECT s.*, t.source_size, t.target, t.apart, t.start, s.size * {LARGE} > t.source_size AS large,
+        CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS rate,
         row_number() OVER (PARTITION BY s.source ORDER BY s.size, s.tie, s.doc_id) - 1 AS rank
     FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
-steps AS (
-    SELECT r.*, m, least(floor(rate * (rank + 1) + (start + m / {OFFSETS}.0::DOUBLE) % 1.0::DOUBLE)
-        - floor(rate * rank + (start + m / {OFFSETS}.0::DOUBLE) % 1.0::DOUBLE), {MAX_COPIES}) AS copies
-    FROM ranked r, (SELECT unnest(range({OFFSETS})) AS m) o),
-best AS (
-    SELECT source, arg_min(m, (off, m)) AS m
-    FROM (SELECT source, m, abs(CAST(sum(size * copies) AS DOUBLE) - any_value(target)) AS off FROM steps GROUP BY source, m) x GROUP BY source)
-SELECT s.doc_id, CAST(s.size AS BIGINT) AS size, s.source_size, s.target, CAST(s.size * s.copies AS BIGINT) AS taken
-FROM steps s JOIN best b ON s.source IS NOT DISTINCT FROM b.source AND s.m = b.m
+firsts AS (
+    SELECT *, CASE WHEN large THEN least(floor(rate * (rank + 1) + apart) - floor(rate * rank + apart), {MAX_COPIES}) END AS first FROM ranked),
+settled AS (
+    SELECT source, any_value(target) AS target, coalesce(sum(size * first) FILTER (large), 0) AS gone, coalesce(sum(size) FILTER (NOT large), 0) AS rest
+    FROM firsts GROUP BY source),
+left_over AS (
+    SELECT source, CASE WHEN rest > 0 THEN least(greatest((target - gone) / rest, 0.0::DOUBLE), {MAX_COPIES}::DOUBLE) ELSE 0.0::DOUBLE END AS rate FROM settled),
+taken AS (
+    SELECT f.*, coalesce(first, least(floor(l.rate * (rank + 1) + start) - floor(l.rate * rank + start), {MAX_COPIES})) AS copies
+    FROM firsts f JOIN left_over l ON f.source IS NOT DISTINCT FROM l.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(size * copies AS BIGINT) AS taken FROM taken
 """
 
 OP5 = """

@@ -1,3 +1,4 @@
+import hashlib
 import math
 import re
 from collections import defaultdict
@@ -25,6 +26,54 @@ def words(text):
     return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
 
 
+def brute_copies(docs, seed=""):
+    """One offset per source; documents above a 16th of their source come first, with their own, and the others take what is left."""
+    by = defaultdict(list)
+    for d in docs:
+        by[d[3]].append((words(d[1]), hashlib.md5(str(d[0]).encode()).hexdigest(), d[0]))
+    sizes = {s: sum(x[0] for x in v) for s, v in by.items()}
+    want, out = targets(sizes), []
+    for s, v in by.items():
+        digits = hashlib.md5((seed if s is None else f"s:{seed}{s}").encode()).hexdigest()
+        apart, u = int(digits[:6], 16) / (1 << 24), int(digits[6:12], 16) / (1 << 24)
+        of = lambda rate, k, u: min(3, math.floor(rate * (k + 1) + u) - math.floor(rate * k + u))
+        rate = want[s] / sizes[s] if sizes[s] else 0.0
+        v = sorted(v)
+        got = {k: of(rate, k, apart) for k, x in enumerate(v) if mixing.LARGE * x[0] > sizes[s]}
+        rest = sum(x[0] for k, x in enumerate(v) if k not in got)
+        left = min(max((want[s] - sum(v[k][0] * c for k, c in got.items())) / rest, 0.0), 3.0) if rest else 0.0
+        out += [(x[2], s, x[0], got.get(k, of(left, k, u))) for k, x in enumerate(v)]
+    return out
+
+
+def test_copies_come_as_often_as_expected(spark):
+    """Over many offsets every document, long ones too, is taken as often on average as its source's rate says."""
+    docs = [(i, "w " * (400 if i == 5 else 3 + i % 40), "en", "abc"[i % 3], 0, 0, "") for i in range(240)]
+    total, n = defaultdict(int), 600
+    for k in range(n):
+        for i, s, size, c in brute_copies(docs, f"{k}/"):
+            total[i] += c
+    sizes = defaultdict(int)
+    for d in docs:
+        sizes[d[3]] += words(d[1])
+    want = targets(sizes)
+    off = [total[d[0]] / n - want[d[3]] / sizes[d[3]] for d in docs]
+    assert abs(sum(off)) / len(off) < 0.02 and max(map(abs, off)) < 0.12
+    frame = spark.createDataFrame(docs, SCHEMA)
+    got = [(r.id, r.source, r.size, r.copies) for r in mixing.mix_plan(frame, seed="7/").collect()]
+    assert sorted(got) == sorted(brute_copies(docs, "7/"))
+
+
+def test_long_documents_do_not_move_a_source_off_its_target():
+    docs = [(i, "w " * (5000 if i == 3 else 100 + i), "en", "ab"[i % 2], 0, 0, "") for i in range(120)]
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for d in docs:
+        sizes[d[3]] += words(d[1])
+    for _, s, size, c in brute_copies(docs):
+        taken[s] += size * c
+    assert all(abs(taken[s] - t) < 0.04 * t for s, t in targets(sizes).items())
+
+
 def test_targets_and_amounts(odd_frame, odd_docs):
     rows = mixing.mix_plan(odd_frame).collect()
     sizes = defaultdict(int)
@@ -38,12 +87,12 @@ def test_targets_and_amounts(odd_frame, odd_docs):
         assert r.size == words(by_id[r.id][1]) and r.source == by_id[r.id][3] and r.source_size == sizes[r.source]
         assert math.isclose(r.target, want[r.source], rel_tol=1e-9)
         assert r.taken == r.copies * r.size and 0 <= r.copies <= 3
-        rate = r.target / r.source_size
-        assert math.floor(rate) <= r.copies <= math.ceil(rate)
         taken[r.source] += r.taken
     largest = max(r.size for r in rows)
     for s, t in want.items():
         assert abs(taken[s] - t) <= max(largest, 0.05 * t)
+    mine = [(r.id, r.source, r.size, r.copies) for r in rows]
+    assert sorted(mine, key=str) == sorted(brute_copies(odd_docs), key=str)
     again = {r.id: r.copies for r in mixing.mix_plan(odd_frame.repartition(7)).collect()}
     assert again == {r.id: r.copies for r in rows}
 
