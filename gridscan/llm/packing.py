@@ -2,9 +2,11 @@
 
 Every input partition packs its own documents in one pass, without a shuffle: whole windows are cut
 off a document's end-marked ids first, and the rest goes to the fill level whose move least increases
-the sum of squared counts of partially filled windows, held in one level array. What is still open
-at the end of a partition is cut and refilled, so that only one window stays short; that one is cut at
-powers of two, which need no padding.
+the sum of squared counts of partially filled windows, held in one level array. Of the windows still open
+at the end of a partition the emptiest are taken apart to fill the fullest, so that only one stays short; that one is cut at
+powers of two, which need no padding. All other pieces stay where the level array placed them.
+
+A task holds the ids of its open windows: their counts are what the method keeps small, and each has less than a window's ids.
 """
 
 from __future__ import annotations
@@ -63,6 +65,7 @@ class Packer:
         self.levels = SumOfSquares(window)
         self.open: dict[int, list[list]] = defaultdict(list)  # level -> windows, each a list of pieces
         self.rows: list[tuple] = []
+        self.placed = self.moved = 0  # ids beside whole windows: all that went to a level, and those moved again at the end
 
     def _close(self, pieces: list[tuple]) -> None:
         at = 0
@@ -77,6 +80,7 @@ class Packer:
         for at in range(0, cut, self.window):
             self._close([(key, at, ids[4 * at : 4 * (at + self.window)], total)])
         if size := total - cut:
+            self.placed += size
             level = self.levels.choose(size)
             pieces = self.open[level].pop() if level else []
             pieces.append((key, cut, ids[4 * cut :], total))
@@ -86,21 +90,43 @@ class Packer:
                 self.open[level + size].append(pieces)
 
     def finish(self) -> None:
-        """Cut and refill the windows that are still open, the fullest first."""
-        todo = [p for level in sorted(self.open, reverse=True) for w in self.open[level] for p in w]
+        """Fill the windows that are still open: the emptiest are taken apart, and their pieces cut to fit the room in the fullest.
+
+        All other pieces stay where they were placed. Less than a window is left at last; it is cut at powers of two.
+        """
+        left = [pieces for level in sorted(self.open) for pieces in self.open[level]]  # the emptiest first
         self.open.clear()
-        left = sum(len(p[2]) // 4 for p in todo)
-        rooms = [self.window] * (left // self.window) + tail_sizes(left % self.window)
-        now: list[tuple] = []
-        room = rooms.pop(0) if rooms else 0
-        for key, start, ids, total in todo:
-            while ids:
-                part, ids = ids[: 4 * room], ids[4 * room :]
-                now.append((key, start, part, total))
-                start, room = start + len(part) // 4, room - len(part) // 4
-                if not room:
-                    self._close(now)
-                    now, room = [], rooms.pop(0) if rooms else 0
+        loose: list[tuple] = []  # what is left of the window that is being taken apart
+        lent, count = 0, len(left)
+        while lent < count:
+            count -= 1
+            pieces = left[count]  # the fullest
+            room = self.window - sum(len(p[2]) // 4 for p in pieces)
+            while room and (loose or lent < count):
+                if not loose:
+                    loose, lent = left[lent][::-1], lent + 1
+                key, start, ids, total = loose.pop()
+                pieces.append((key, start, ids[: 4 * room], total))
+                if len(ids) > 4 * room:
+                    loose.append((key, start + room, ids[4 * room :], total))
+                self.moved += len(pieces[-1][2]) // 4
+                room -= len(pieces[-1][2]) // 4
+            if room:
+                loose = pieces[::-1]
+            else:
+                self._close(pieces)
+        # The last one, short of a window, or what is left of one that was taken apart.
+        rest = sum(len(p[2]) // 4 for p in loose)
+        self.moved += rest
+        for room in tail_sizes(rest):
+            now = []
+            while room:
+                key, start, ids, total = loose.pop()
+                now.append((key, start, ids[: 4 * room], total))
+                if len(ids) > 4 * room:
+                    loose.append((key, start + room, ids[4 * room :], total))
+                room -= len(now[-1][2]) // 4
+            self._close(now)
 
     def drain(self) -> pa.RecordBatch:
         cols = list(zip(*self.rows)) or [[]] * 7
@@ -110,9 +136,10 @@ class Packer:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, window: int = WINDOW) -> DataFrame:
-    """One row per piece of each row of docs; null and blank texts hold the end id alone.
+    """One row per piece of each row of docs, in windows of 2048 ids at most.
 
-    Sequence ids are the partition's number times 2^32 and a running number. Reruns of a task agree,
+    Null and empty texts hold the end id alone; long ones are cut into whole windows and a rest. Repeated rows and rows without an id are
+    packed each for itself; an empty table gives no pieces; other columns are not read. Sequence ids are the partition's number times 2^32 and a running number. Reruns of a task agree,
     as rows are taken in the order of the input partition, which for a scan is fixed by the files.
     """
     path = vocabulary or default_vocabulary()

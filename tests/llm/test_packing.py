@@ -52,6 +52,36 @@ def test_odd_texts(odd_frame, odd_docs, empty_frame):
     assert packing.pack(empty_frame).count() == 0
 
 
+def packed_sizes(sizes, window=2048):
+    """(share of ids beside whole windows that were moved at the end, padding) of documents of these sizes."""
+    packer = packing.Packer(0, window)
+    for k, n in enumerate(sizes):
+        packer.add(k, np.full(n, k, "<u4").tobytes())
+    at_end = {id(p) for ws in packer.open.values() for w in ws for p in w}
+    packer.finish()
+    filled = defaultdict(int)
+    for _, _, n, _, _, seq, offset in packer.rows:
+        assert offset == filled[seq]
+        filled[seq] += n
+    assert sum(filled.values()) == sum(sizes) and all(0 < n <= window for n in filled.values()) and not packer.open
+    assert packer.moved <= packer.placed and len(at_end) <= len(sizes)
+    padding = sum(window - n for n in filled.values() if n & (n - 1))
+    return packer.moved / max(1, packer.placed), padding
+
+
+def test_most_pieces_stay_where_the_level_array_put_them():
+    r = np.random.default_rng(4)
+    for n, most in ((200, 0.55), (1000, 0.35), (10_000, 0.1), (40_000, 0.05)):
+        moved, padding = packed_sizes(np.maximum(1, r.lognormal(6, 0.9, n).astype(int)).tolist())
+        print(n, moved)
+        assert moved < most and padding == 0
+
+
+def test_few_and_odd_sizes():
+    for sizes in ([], [1], [2048], [2047], [2049], [1] * 5000, [1500, 1500, 1500], [4096, 3, 2045], [1025] * 7, [2047, 1, 2047, 2, 2046]):
+        assert packed_sizes(sizes)[1] == 0
+
+
 def test_choice_is_the_least_sum_of_squares():
     r = random.Random(8)
     window = 64
