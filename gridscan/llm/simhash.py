@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, input_partitions
+from .common import cut_lineage, drop_checkpoint, helper_prefix, input_partitions
 
 BITS = 64
 BLOCK = 16
@@ -179,7 +179,7 @@ def _and_end(batches):
     yield None
 
 
-def fingerprint_links(distinct: DataFrame) -> DataFrame:
+def fingerprint_links(distinct: DataFrame, partitions: int) -> DataFrame:
     """(u, v): links among the distinct fingerprints in column fp, enough to connect all that lie within the radius."""
     blocks = [F.shiftrightunsigned("fp", BLOCK * k).bitwiseAND(0xFFFF) for k in range(BITS // BLOCK)]
     tables = [
@@ -187,14 +187,14 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
         for t, (i, j) in enumerate(combinations(range(len(blocks)), 2))
     ]
     keyed = distinct.select(F.explode(F.array(*tables)).alias("key"), "fp")
-    return keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_linked, "u long, v long")
+    return keyed.repartition(partitions, "key").sortWithinPartitions("key", "fp").mapInArrow(_linked, "u long, v long")
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node that each linked node reaches, by alternating large and small stars.
 
     Every round is a partial aggregate and a join, both of which spread a hot node's links; every
-    round's edges are checkpointed.
+    round's edges are checkpointed, and those of the round before deleted.
     """
     edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges = cut_lineage(edges)
@@ -205,7 +205,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
-        edges = cut_lineage(small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct())
+        last, edges = edges, cut_lineage(small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct())
+        drop_checkpoint(last)
         now = edges.agg(F.count("*"), F.sum(F.col("u").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)")), F.countDistinct("u")).first()
         if now == before and now[0] == now[3]:
             break
@@ -440,7 +441,7 @@ def _near(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataF
     rows = cut_lineage(narrow.mapInArrow(_like_batches, "id long, text_key long, fp long, like binary, keys array<long>"))
     distinct = rows.groupBy("fp").agg(F.min(F.struct("like", "keys", "id", "text_key")).alias("x"))
     keyed = distinct.select(F.explode("x.keys").alias("key"), "fp", "x.like")
-    links = keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_like_links, "u long, v long")
+    links = keyed.repartition(input_partitions(docs), "key").sortWithinPartitions("key", "fp").mapInArrow(_like_links, "u long, v long")
     met = components(links)
     met = cut_lineage(met.unionByName(met.select(F.col("root").alias("node"), "root").distinct()))
     sizes = met.groupBy("root").agg(F.count("*").alias("size"))
@@ -462,7 +463,7 @@ def _rooted(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Dat
     """(a row (id, text_key, fp) per row of docs, (fp, root) of every fingerprint), both checkpointed."""
     fps = cut_lineage(fingerprints(docs, id_col, text_col))
     distinct = fps.select("fp").distinct()
-    roots = components(fingerprint_links(distinct))
+    roots = components(fingerprint_links(distinct, input_partitions(docs)))
     named = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
     return fps, cut_lineage(named)
 
@@ -486,13 +487,22 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """docs with one row of each group of near copies: that of the smallest id, rows without an id last, of equal ids the first by a hash of the text.
 
     Near copies are texts whose sets of 5-word shingles have a Jaccard likeness of 0.8 or more; SimHashes only find the
-    pairs, and every link is checked on the two sets. Chains of near copies are one group. Blank texts are copies of each other.
+    pairs, and every link is checked on the two sets. Chains of near copies are one group. Null and blank texts are copies of each other,
+    texts of any length are compared whole; of rows equal in id and text any one stays. Columns stay as they were, whatever
+    their names; an empty table stays empty.
     """
     fps, named = _near(docs, id_col, text_col)
     place = F.struct(F.col("id").isNull().alias("n"), "id", "text_key")
     first = fps.groupBy("fp").agg(F.min(place).alias("place"))
-    kept = named.join(first, "fp").groupBy("root").agg(F.min("place").alias("place"))
-    kept = cut_lineage(kept.select(F.col("place.id").alias("_d_id"), F.col("place.text_key").alias("_d_text")))
-    keyed = docs.withColumn("_d_key", _text_key(text_col))
-    rows = keyed.join(kept, F.col(id_col).eqNullSafe(F.col("_d_id")) & (F.col("_d_key") == F.col("_d_text")), "left_semi")
-    return rows.dropDuplicates([id_col, "_d_key"]).drop("_d_key")
+    kept = named.join(first, "fp").groupBy("root").agg(F.min("place").alias("place")).select("place.id", "place.text_key")
+    p = helper_prefix(docs.columns, "_d_")
+    same = F.col("id").eqNullSafe(F.col(f"{p}id")) & (F.col("text_key") == F.col(f"{p}text"))
+    kept = kept.select(F.col("id").alias(f"{p}id"), F.col("text_key").alias(f"{p}text"))
+    # How many rows share the place of a kept one is settled on narrow rows, so that whole ones are joined once and seldom dealt again.
+    kept = cut_lineage(fps.join(kept, same).groupBy(f"{p}id", f"{p}text").agg(F.count("*").alias(f"{p}rows")))
+    keyed = docs.withColumn(f"{p}key", _text_key(text_col))
+    rows = keyed.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col(f"{p}id")) & (F.col(f"{p}key") == F.col(f"{p}text")))
+    out = rows.where(F.col(f"{p}rows") == 1)
+    if kept.where(F.col(f"{p}rows") > 1).limit(1).count():
+        out = out.unionByName(rows.where(F.col(f"{p}rows") > 1).dropDuplicates([f"{p}id", f"{p}text"]))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -71,7 +71,7 @@ def test_links_connect_what_the_radius_connects(spark, monkeypatch):
     r = random.Random(2)
     values = clusters(r, 600)
     signed = np.array(values, np.uint64).view(np.int64).tolist()
-    edges = simhash.fingerprint_links(spark.createDataFrame([(v,) for v in signed], "fp long")).collect()
+    edges = simhash.fingerprint_links(spark.createDataFrame([(v,) for v in signed], "fp long"), 4).collect()
     for e in edges:
         assert ((e.u ^ e.v) & (2**64 - 1)).bit_count() <= 2
     pairs = list(zip(range(len(values)), values))
