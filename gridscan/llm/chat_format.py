@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import input_partitions
+
 #: Control strings, each with the letter that stands for it after a backslash.
 CONTROLS = {"<|": "a", "|>": "b", "</s>": "c", "<s>": "d", "[INST]": "e", "[/INST]": "f", "<<SYS>>": "g", "<</SYS>>": "h"}
 _ESCAPE = {"\\": "\\\\", **{c: "\\" + k for c, k in CONTROLS.items()}}
@@ -34,6 +36,8 @@ PART_CHARS = 1 << 20
 IMAGE_PATCH = 28
 AUDIO_TOKENS_PER_SECOND = 25
 DOCUMENT_TOKENS_PER_PAGE = 256
+#: Widths, seconds and numbers of pages from here on are no sizes.
+MOST_SIZE = 1e9
 
 
 def escape(text: str) -> str:
@@ -44,17 +48,43 @@ def unescape(text: str) -> str:
     return _BACK.sub(lambda m: _UNESCAPE[m[0]], text)
 
 
+def whole_text(text: str) -> str:
+    """text with lone surrogates, which no encoding can hold, replaced by U+FFFD."""
+    return text if text.isascii() else text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+
+
 class Flatten:
     """Visitor over the typed parts of one conversation; attachments are numbered across its turns.
 
-    Unknown kinds and parts that aren't objects raise ValueError. Missing sizes count as one patch,
-    second or page.
+    Nothing raises. A part of unknown kind or one that is no object becomes escaped text, its own JSON, and counts as
+    bad; so does text that is no JSON list where one is expected. Sizes that are missing count as one patch, second or
+    page; sizes that are no positive numbers do too, and their part counts as bad.
     """
 
     def __init__(self) -> None:
         self.attachments: list[dict] = []
+        self.first = self.bad = 0
 
-    def parts(self, parts) -> str:
+    def taken(self) -> list[dict]:
+        """The attachments since the last call; their numbers go on."""
+        got, self.attachments = self.attachments, []
+        self.first += len(got)
+        return got
+
+    def json(self, raw: str | None) -> str:
+        """The flattened string of a JSON list of parts, or of a JSON string; null and empty give none."""
+        if not raw:
+            return ""
+        try:
+            parts = json.loads(raw)
+        except (ValueError, RecursionError):
+            parts = 0
+        if parts is None or isinstance(parts, (str, list)):
+            return self.parts(parts)
+        self.bad += 1
+        return escape(whole_text(raw))
+
+    def parts(self, parts: list | str | None) -> str:
         """The flattened string of a list of parts; a plain string is one text part, null none."""
         if parts is None:
             return ""
@@ -62,28 +92,41 @@ class Flatten:
             return self.text({"text": parts})
         return "".join(self.part(p) for p in parts)
 
-    def part(self, part: dict) -> str:
+    def part(self, part) -> str:
         kind = part.get("type") if isinstance(part, dict) else None
-        if kind not in ("text", "image", "audio", "document"):
-            raise ValueError(f"unknown content part: {part!r}")
-        return getattr(self, kind)(part)
+        if kind in ("image", "audio", "document"):
+            return getattr(self, kind)(part)
+        if kind == "text" and isinstance(part.get("text", ""), (str, type(None))):
+            return self.text(part)
+        self.bad += 1
+        return escape(whole_text(json.dumps(part, ensure_ascii=False)))
 
     def text(self, part: dict) -> str:
-        return escape(part.get("text") or "")
+        return escape(whole_text(part.get("text") or ""))
 
     def image(self, part: dict) -> str:
-        across, down = (math.ceil((part.get(k) or 1) / IMAGE_PATCH) for k in ("width", "height"))
-        return self._attach("image", part, across * down)
+        (across, down), bad = self._sizes(part, "width", "height")
+        return self._attach("image", part, math.ceil(across / IMAGE_PATCH) * math.ceil(down / IMAGE_PATCH), bad)
 
     def audio(self, part: dict) -> str:
-        return self._attach("audio", part, math.ceil((part.get("seconds") or 1) * AUDIO_TOKENS_PER_SECOND))
+        (seconds,), bad = self._sizes(part, "seconds")
+        return self._attach("audio", part, math.ceil(seconds * AUDIO_TOKENS_PER_SECOND), bad)
 
     def document(self, part: dict) -> str:
-        return self._attach("document", part, (part.get("pages") or 1) * DOCUMENT_TOKENS_PER_PAGE)
-
-    def _attach(self, kind: str, part: dict, tokens: int) -> str:
-        n = len(self.attachments)
-        self.attachments.append({"number": n, "kind": kind, "ref": part.get("ref"), "tokens": tokens})
+        (pages,), bad = self._sizes(part, "pages")
+        return self._attach("document", part, math.ceil(pages) * DOCUMENT_TOKENS_PER_PAGE, bad)
+
+    def _sizes(self, part: dict, *names: str) -> tuple[list[float], bool]:
+        got = [part.get(n) for n in names]
+        good = [type(v) in (int, float) and 0 < v < MOST_SIZE for v in got]
+        return [v if ok else 1 for v, ok in zip(got, good)], any(v is not None and not ok for v, ok in zip(got, good))
+
+    def _attach(self, kind: str, part: dict, tokens: int, bad: bool) -> str:
+        n, ref = self.first + len(self.attachments), part.get("ref")
+        known = ref is None or isinstance(ref, str)
+        self.bad += bad or not known
+        ref = whole_text(ref if known else json.dumps(ref, ensure_ascii=False)) if ref is not None else None
+        self.attachments.append({"number": n, "kind": kind, "ref": ref, "tokens": tokens})
         return f"<|{kind}:{n}|>"
 
 
@@ -108,32 +151,32 @@ def read_turns(formatted: str) -> list[tuple[str, str, int, int]]:
 _ATTACHMENT = pa.struct([("number", pa.int64()), ("kind", pa.string()), ("ref", pa.string()), ("tokens", pa.int64())])
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 _PARTS = pa.schema(
-    [("conv_id", pa.int64()), ("part", pa.int64()), ("formatted", pa.string()), ("loss_spans", pa.list_(_SPAN)), ("attachments", pa.list_(_ATTACHMENT)), ("expanded_tokens", pa.int64())]
+    [("conv_id", pa.int64()), ("part", pa.int64()), ("formatted", pa.string()), ("loss_spans", pa.list_(_SPAN)), ("attachments", pa.list_(_ATTACHMENT)), ("expanded_tokens", pa.int64()), ("bad_parts", pa.int64())]
 )
 PARTS_DDL = (
     "conv_id long, part long, formatted string, loss_spans array<struct<start:long,end:long>>, "
-    "attachments array<struct<number:long,kind:string,ref:string,tokens:long>>, expanded_tokens long"
+    "attachments array<struct<number:long,kind:string,ref:string,tokens:long>>, expanded_tokens long, bad_parts long"
 )
 
 
 def format_conversations(turns: DataFrame, loss_role: str = "assistant", parts_json: bool = False, part_chars: int = PART_CHARS) -> DataFrame:
     """Conversations from rows (conv_id, turn, role, text): formatted parts in order, the spans under the loss mask, attachments.
 
-    ``text`` is plain, or with ``parts_json`` a JSON list of typed parts. Turns come in order of turn
-    (null first), then role, then text; null roles and texts are empty; rows without a conv_id form
-    one conversation. Spans count code points from the start of their part.
+    ``text`` is plain, or with ``parts_json`` a JSON list of typed parts; ``bad_parts`` counts those that are none (see ``Flatten``). Turns
+    come in order of turn (null first), then role, then text; null roles and texts are empty; repeated rows are turns of their own; rows
+    without a conv_id form one conversation; an empty table gives none. Spans count code points from the start of their part. Other columns are not read.
     """
 
     def run(batches):
         rows: list[dict] = []
-        state = {"conv": object(), "part": 0, "chars": 0, "text": [], "spans": [], "flat": Flatten(), "seen": 0}
+        state = {"conv": object(), "part": 0, "chars": 0, "text": [], "spans": [], "flat": Flatten()}
 
         def close():
             if state["text"]:
-                got = state["flat"].attachments[state["seen"] :]
-                state["seen"] += len(got)
+                got = state["flat"].taken()
+                bad, state["flat"].bad = state["flat"].bad, 0
                 rows.append(
-                    {"conv_id": state["conv"], "part": state["part"], "formatted": "".join(state["text"]), "loss_spans": state["spans"], "attachments": got, "expanded_tokens": sum(a["tokens"] for a in got)}
+                    {"conv_id": state["conv"], "part": state["part"], "formatted": "".join(state["text"]), "loss_spans": state["spans"], "attachments": got, "expanded_tokens": sum(a["tokens"] for a in got), "bad_parts": bad}
                 )
                 state.update(part=state["part"] + 1, chars=0, text=[], spans=[])
 
@@ -141,8 +184,8 @@ def format_conversations(turns: DataFrame, loss_role: str = "assistant", parts_j
             for conv, role, text in zip(*(b.column(c).to_pylist() for c in (0, 2, 3))):
                 if conv != state["conv"]:
                     close()
-                    state.update(conv=conv, part=0, flat=Flatten(), seen=0)
-                flat = state["flat"].parts(json.loads(text) if parts_json and text else text)
+                    state.update(conv=conv, part=0, flat=Flatten())
+                flat = state["flat"].json(text) if parts_json else state["flat"].parts(text)
                 whole, lo, hi = format_turn(role, flat)
                 if role == loss_role:
                     state["spans"].append({"start": state["chars"] + lo, "end": state["chars"] + hi})
@@ -157,7 +200,7 @@ def format_conversations(turns: DataFrame, loss_role: str = "assistant", parts_j
         yield pa.RecordBatch.from_pylist(rows, schema=_PARTS)
 
     narrow = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    return narrow.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(run, PARTS_DDL)
+    return narrow.repartition(input_partitions(turns), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(run, PARTS_DDL)
 
 
 _DIGEST = pa.schema(

@@ -33,9 +33,42 @@ def test_parts_become_placeholders():
     assert out == "see \\aimage:7\\b <|image:0|><|audio:1|><|document:2|>"
     assert [(a["kind"], a["ref"], a["tokens"]) for a in flat.attachments] == [("image", "a.png", 3), ("audio", "b.wav", 38), ("document", "c.pdf", 768)]
     assert flat.parts("again") == "again" and flat.parts(None) == ""
-    for bad in ({"type": "video"}, "x", {}):
-        with pytest.raises(ValueError):
-            flat.parts([bad])
+    assert flat.bad == 0
+
+
+BAD = [
+    ('{"type": "video"}', '{"type": "video"}'),
+    ("[null]", "null"),
+    ('[{"type": "video", "ref": "<|user|>"}]', '{"type": "video", "ref": "<|user|>"}'),
+    ('["x"]', '"x"'),
+    ("[1, []]", "1[]"),
+    ("not json <|end|>", "not json <|end|>"),
+    ('["cut', '["cut'),
+    ("7", "7"),
+    ('[{"type": "text", "text": 7}]', '{"type": "text", "text": 7}'),
+    ('[{"type": "image", "width": "wide"}]', "<|image:0|>"),
+    ('[{"type": "image", "width": -3, "height": 1e400}]', "<|image:0|>"),
+    ('[{"type": "audio", "seconds": NaN}]', "<|audio:0|>"),
+    ('[{"type": "document", "pages": true, "ref": ["a"]}]', "<|document:0|>"),
+    ("[" * 100_000, "[" * 100_000),
+]
+
+
+@pytest.mark.parametrize("raw,shown", BAD)
+def test_bad_parts_are_kept_as_text_and_counted(raw, shown):
+    flat = cf.Flatten()
+    out = flat.json(raw)
+    assert flat.bad >= 1 and all(a["tokens"] in (1, 25, 256) for a in flat.attachments)
+    if shown.startswith("<|") and flat.attachments:
+        assert out == shown
+    else:
+        assert cf.unescape(out) == shown and not any(c in out for c in cf.CONTROLS)
+
+
+def test_no_part_and_lone_surrogates_are_not_bad():
+    flat = cf.Flatten()
+    assert [flat.json(x) for x in (None, "", "null", "[]", '"plain"')] == ["", "", "", "", "plain"]
+    assert flat.json('[{"type": "text", "text": "a\\ud800b\\ud83d\\ude00"}, {"type": "text"}]') == "a\ufffdb\U0001f600" and flat.bad == 0
 
 
 def brute(rows):
@@ -77,4 +110,14 @@ def test_json_parts(spark):
     (got,) = cf.format_conversations(spark.createDataFrame(rows, SCHEMA), parts_json=True).collect()
     assert got.formatted == "<|user|>\n<|image:0|>hi<|end|>\n<|assistant|>\n<|audio:1|><|end|>\n<|user|>\n<|end|>\n"
     assert got.expanded_tokens == 51 and [a.kind for a in got.attachments] == ["image", "audio"]
-    assert [got.formatted[s.start : s.end] for s in got.loss_spans] == ["<|audio:1|>"]
+    assert [got.formatted[s.start : s.end] for s in got.loss_spans] == ["<|audio:1|>"] and got.bad_parts == 0
+    rows = [(i, 0, "user", raw, 0, "") for i, (raw, _) in enumerate(BAD)] + [(99, 0, "user", '["\\ud800", {"type": "image", "ref": "\\udfff"}]', 0, "")]
+    made = cf.format_conversations(spark.createDataFrame(rows, SCHEMA), parts_json=True).collect()
+    assert len(made) == len(rows) and all(r.bad_parts >= 1 for r in made)
+
+
+def test_parts_of_a_long_conversation_number_on(spark):
+    rows = [(1, t, "user", '[{"type": "image", "ref": "r%d"}]' % t, 0, "") for t in range(50)]
+    made = sorted(cf.format_conversations(spark.createDataFrame(rows, SCHEMA), parts_json=True, part_chars=100).collect(), key=lambda r: r.part)
+    assert len(made) > 5 and [(a.number, a.ref) for r in made for a in r.attachments] == [(t, f"r{t}") for t in range(50)]
+    assert sum(r.expanded_tokens for r in made) == 50
