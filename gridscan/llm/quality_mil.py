@@ -5,7 +5,7 @@ byte classes and by how many different 4-byte strings it holds, then by a dense
 weights come from a gate, sigmoid(U h) * tanh(V h), and the score is that of the weighted sum of all
 passages. Attention is normalised over a document, so passages may be encoded in any number of chunks.
 
-Training fits in one task: it takes at most ``SAMPLE`` labelled documents, chosen by a hash of their id.
+Training fits in one task: it takes a sample of labelled documents, chosen by a hash of their id and bounded by number and bytes.
 """
 
 from __future__ import annotations
@@ -18,10 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: At most so many labelled documents are learned from, by all their passages.
-SAMPLE = 4096
-#: Passages of a bag by ``_bag``, which training doesn't use.
-TRAIN_PASSAGES = 64
+#: At most so many labelled documents are learned from, by all their passages, and at most so many bytes of text: documents
+#: come in order of a hash of their id, and one that no longer fits is left out as a whole.
+SAMPLE, SAMPLE_BYTES = 4096, 24 << 20
 PASSAGE = 512
 CHUNK = 1 << 20
 HIDDEN, GATE = 32, 16
@@ -103,6 +102,30 @@ class Model:
         a = np.exp(logit - logit.max())
         return float(_sigmoid((a / a.sum()) @ h @ self.p["c"] + self.p["b"])[0])
 
+    def gradients(self, bags: list[np.ndarray], labels: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+        """(mean cross-entropy, its gradients) over bags of scaled features."""
+        p = self.p
+        x = np.concatenate(bags)
+        count = np.array([len(b) for b in bags])
+        start, bag = np.cumsum(count) - count, np.repeat(np.arange(len(bags)), count)
+        h = np.tanh(x @ p["w"] + p["wb"])
+        t, s = np.tanh(h @ p["v"]), _sigmoid(h @ p["u"])
+        logit = ((t * s) @ p["a"])[:, 0]
+        e = np.exp(logit - np.maximum.reduceat(logit, start)[bag])
+        a = e / np.add.reduceat(e, start)[bag]
+        z = np.add.reduceat(a[:, None] * h, start)
+        y = _sigmoid(z @ p["c"] + p["b"])[:, 0]
+        loss = -float(np.mean(labels * np.log(np.maximum(y, 1e-30)) + (1 - labels) * np.log(np.maximum(1 - y, 1e-30))))
+        dy = ((y - labels) / len(bags)).astype(x.dtype)[:, None]
+        dz = dy @ p["c"].T
+        da = (dz[bag] * h).sum(1)
+        dlogit = (a * (da - np.add.reduceat(a * da, start)[bag]))[:, None]
+        dgate = dlogit @ p["a"].T
+        dt, ds = dgate * s * (1 - t * t), dgate * t * s * (1 - s)
+        dh = a[:, None] * dz[bag] + dt @ p["v"].T + ds @ p["u"].T
+        dpre = dh * (1 - h * h)
+        return loss, {"w": x.T @ dpre, "wb": dpre.sum(0), "v": h.T @ dt, "u": h.T @ ds, "a": (t * s).T @ dlogit, "c": z.T @ dy, "b": dy.sum(0)}
+
     def fit(self, bags: list[np.ndarray], labels: np.ndarray) -> None:
         p, r = self.p, np.random.default_rng(SEED)
         bags = [(b - self.mean) / self.scale for b in bags]
@@ -114,25 +137,7 @@ class Model:
             order = r.permutation(len(bags))
             for at in range(0, len(order), BATCH):
                 some = order[at : at + BATCH]
-                x = np.concatenate([bags[i] for i in some])
-                count = np.array([len(bags[i]) for i in some])
-                start, bag = np.cumsum(count) - count, np.repeat(np.arange(len(some)), count)
-                h = np.tanh(x @ p["w"] + p["wb"])
-                t, s = np.tanh(h @ p["v"]), _sigmoid(h @ p["u"])
-                logit = ((t * s) @ p["a"])[:, 0]
-                e = np.exp(logit - np.maximum.reduceat(logit, start)[bag])
-                a = e / np.add.reduceat(e, start)[bag]
-                z = np.add.reduceat(a[:, None] * h, start)
-                y = _sigmoid(z @ p["c"] + p["b"])[:, 0]
-                dy = ((y - labels[some]) / len(some)).astype(np.float32)[:, None]
-                dz = dy @ p["c"].T
-                da = (dz[bag] * h).sum(1)
-                dlogit = (a * (da - np.add.reduceat(a * da, start)[bag]))[:, None]
-                dgate = dlogit @ p["a"].T
-                dt, ds = dgate * s * (1 - t * t), dgate * t * s * (1 - s)
-                dh = a[:, None] * dz[bag] + dt @ p["v"].T + ds @ p["u"].T
-                dpre = dh * (1 - h * h)
-                grads = {"w": x.T @ dpre, "wb": dpre.sum(0), "v": h.T @ dt, "u": h.T @ ds, "a": (t * s).T @ dlogit, "c": z.T @ dy, "b": dy.sum(0)}
+                _, grads = self.gradients([bags[i] for i in some], labels[some])
                 step += 1
                 for k, g in grads.items():
                     g = g + DECAY * p[k]
@@ -147,15 +152,8 @@ def _pieces(text: bytes):
         yield text[at : at + CHUNK], len(text)
 
 
-def _bag(text: bytes) -> np.ndarray:
-    """Features of at most TRAIN_PASSAGES evenly spaced passages."""
-    n = max(1, -(-len(text) // PASSAGE))
-    at = np.arange(n) if n <= TRAIN_PASSAGES else np.linspace(0, n - 1, TRAIN_PASSAGES).astype(int)
-    return np.concatenate([passage_features([(text[i * PASSAGE : (i + 1) * PASSAGE], len(text))])[0] for i in at.tolist()])
-
-
-def _whole_bag(text: bytes) -> np.ndarray:
-    """Features of all passages, encoded in chunks."""
+def bag_of(text: bytes) -> np.ndarray:
+    """Features of all passages of a text, encoded in chunks."""
     return np.concatenate([passage_features([piece])[0] for piece in _pieces(text)])
 
 
@@ -171,22 +169,29 @@ def train(bags: list[np.ndarray], labels: np.ndarray) -> Model:
     return model
 
 
-def fit_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> bytes:
+def fit_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> bytes:
     """A pickled model from the labelled rows outside the held-out fold.
 
-    Rows without an id or a label teach nothing; of several labels of an id the largest counts.
+    Rows without an id or a label teach nothing; of several labels of an id the largest counts, of several texts the first by a hash.
     """
     usable = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col))
-    chosen = usable.groupBy(F.col(id_col).alias("_l_id")).agg(F.max(label_col).cast("int").alias("_l_label"))
-    chosen = chosen.withColumn("_l_order", F.xxhash64("_l_id")).orderBy("_l_order", "_l_id").limit(sample)
-    rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_l_id")).select("_l_order", "_l_label", F.coalesce(F.col(text_col).cast("binary"), F.lit("").cast("binary")).alias("text"))
+    chosen = usable.groupBy(F.col(id_col).alias("key")).agg(F.max(label_col).cast("int").alias("label"))
+    chosen = chosen.withColumn("place", F.xxhash64("key")).orderBy("place", "key").limit(sample)
+    text = F.coalesce(F.col(text_col).cast("binary"), F.lit("").cast("binary"))
+    rows = docs.select(F.col(id_col).alias("key"), text.alias("text")).join(F.broadcast(chosen), "key")
+    rows = rows.groupBy("place", "key", "label").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
 
     def learn(batches):
-        examples = [(o, y, _whole_bag(t.as_py())) for b in batches for o, y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2))]
-        model = train([x for _, _, x in examples], np.array([y for _, y, _ in examples]))
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
-
-    found = rows.repartition(1).sortWithinPartitions("_l_order", F.xxhash64("text")).mapInArrow(learn, "model binary").first()
+        bags, marks, size = [], [], 0
+        for b in batches:
+            for mark, raw in zip(b.column(2).to_pylist(), b.column(3)):
+                if size + len(raw.as_buffer()) <= sample_bytes:
+                    size += len(raw.as_buffer())
+                    bags.append(bag_of(raw.as_py()))
+                    marks.append(mark)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(bags, np.array(marks)))], pa.binary())], ["model"])
+
+    found = rows.repartition(1).sortWithinPartitions("place", "key").mapInArrow(learn, "model binary").first()
     return found[0] if found else pickle.dumps(train([], np.empty(0)))
 
 
@@ -236,6 +241,10 @@ def score_documents(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row of docs."""
+    """(doc_id, held_out, score, predicted) for every row of docs, from its whole text alone.
+
+    Null texts are empty and score like any other; rows without an id belong to no held-out fold; repeated rows score alike; an
+    empty table gives no rows, and without usable labels all scores are 0.5. Other columns are not read.
+    """
     scored = score_documents(docs, fit_model(docs, labels, id_col, text_col), id_col, text_col)
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
