@@ -116,15 +116,19 @@ class BlindTrie:
         return order, shared
 
 
-def sort_suffixes(text: bytes, starts: np.ndarray, limit: int, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
+def word_table(text: bytes) -> np.ndarray:
+    """The 8-byte characters of a text, for several calls of ``sort_suffixes``."""
+    return _word_view(np.frombuffer(text + b"\0" * _CHAR, np.uint8))
+
+
+def sort_suffixes(text: bytes, starts: np.ndarray, limit: int, shallow: int = SHALLOW, words: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes of text at ``starts`` in order of their first ``limit`` bytes, and for each whether it equals the one before in all of them.
 
     Every suffix must have ``limit`` bytes of text, ``limit`` being at least ``shallow``, a multiple of 8.
     """
     if not len(starts):
         return np.empty(0, np.int64), np.empty(0, bool)
-    padded = np.frombuffer(text + b"\0" * _CHAR, np.uint8)
-    order, at, depth = _multikey(_word_view(padded), np.asarray(starts, np.int64).copy(), shallow)
+    order, at, depth = _multikey(word_table(text) if words is None else words, np.asarray(starts, np.int64).copy(), shallow)
     same = np.zeros(len(order), bool)
     sizes = np.diff(np.append(at, len(order)))
     for lo, n in zip(at[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
