@@ -47,6 +47,8 @@ GROUP, FINE = 64, 4
 CHUNK = 1 << 20
 FLUSH = 1 << 20
 BUCKET_BYTES = 16 << 20
+#: Bytes of contexts sorted at once; one gram's are never parted.
+SORT_BYTES = 2 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -136,10 +138,10 @@ def _repeated(group: np.ndarray, d: np.ndarray, p: np.ndarray) -> np.ndarray:
     return out
 
 
-def _repeated_entries(text: bytes, start: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """Whether each entry's bytes, which begin at ``start``, are those of an entry of a smaller (document, place): by sorting them."""
+def _repeated_entries(text: bytes, start: np.ndarray, e: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether each entry's bytes, which begin at ``start``, are those of an entry of a smaller (document, place): by sorting those whose hashes occur again."""
     out = np.zeros(len(e), bool)
-    some = np.flatnonzero(_twins(e["g"] * _BASE ^ e["c"] + e["n"].astype(np.uint64)))
+    some = np.flatnonzero(_twins(e["g"] * _BASE ^ hashes + e["n"].astype(np.uint64)))
     if not len(some):
         return out
     words = word_table(text)
@@ -227,7 +229,7 @@ def _scan(gram_buckets: int, doc_buckets: int, local_hot: int | None = None):
         def flush():
             e = np.concatenate([x for _, x, _ in held])
             begin = np.cumsum([0, *(len(b) for b, _, _ in held)])
-            again = _repeated_entries(b"".join(b for b, _, _ in held), np.concatenate([at + k for (_, _, at), k in zip(held, begin)]), e)
+            again = _repeated_entries(b"".join(b for b, _, _ in held), np.concatenate([at + k for (_, _, at), k in zip(held, begin)]), e, e["c"])
             later, e = e[again], e[~again]
             _, gram, count = np.unique(e["g"], return_inverse=True, return_counts=True)
             hot = count[gram] > (LOCAL_HOT if local_hot is None else local_hot)
@@ -380,7 +382,7 @@ def _cut_contexts(gram_buckets: int, doc_buckets: int, names: tuple[str, str, st
             pieces, _ = _core_pieces(hot, SPLIT, lambda k, at, n: texts[d[k]][at : at + n])
             size = pieces["n"].astype(np.int64) + LENGTH - 1
             body = b"".join(texts[d][p : p + n].to_pybytes() for d, p, n in zip(pieces["d"].tolist(), pieces["p"].tolist(), size.tolist()))
-            spans, fresh = _repeated_windows(pieces, body)
+            spans, fresh = _sorted_repeats(pieces, body)
             pieces = pieces[fresh]
             pieces["c"] = docs.column(own)[0].as_py() // group
             rows += _span_rows(spans, doc_buckets) + _context_rows(pieces, HOT_CONTEXTS, _salted(pieces, gram_buckets), texts)
@@ -404,7 +406,7 @@ def _sort_contexts(gram_buckets: int, doc_buckets: int, group: int = GROUP, more
                 e, body = _contexts([p for k, p in held if k == kind])
                 if not len(e):
                     continue
-                spans, fresh = _repeated_windows(e, body)
+                spans, fresh = _sorted_repeats(e, body)
                 rows += _span_rows(spans, doc_buckets)
                 if kind == HOT_CONTEXTS and more:
                     rows += _fresh_rows(e, body, fresh, gram_buckets, group, width)
@@ -431,6 +433,41 @@ def _fresh_rows(e: np.ndarray, body: bytes, fresh: np.ndarray, gram_buckets: int
     return rows
 
 
+def _taken(e: np.ndarray, text: bytes, begin: np.ndarray, which: np.ndarray) -> bytes:
+    size = e["n"][which].astype(np.int64) + LENGTH - 1
+    return b"".join([text[i : i + n] for i, n in zip(begin[which].tolist(), size.tolist())])
+
+
+def _sorted_repeats(e: np.ndarray, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_repeated_windows``, some grams at a time: whole contexts are sorted first, then the windows of those that differ."""
+    from xxhash import xxh3_64_intdigest
+
+    size = e["n"].astype(np.int64) + LENGTH - 1
+    begin = np.cumsum(size) - size
+    order = np.argsort(e["g"], kind="stable")
+    ends = np.cumsum(size[order])
+    edge = np.flatnonzero(np.append(e["g"][order][1:] != e["g"][order][:-1], True)) + 1  # a gram's entries stay together
+    spans, fresh, lo = [np.empty(0, _SPANS)], np.ones(len(e), bool), 0
+    while lo < len(order):
+        least = (ends[lo - 1] if lo else 0) + SORT_BYTES
+        hi = int(edge[np.searchsorted(edge, min(np.searchsorted(ends, least) + 1, len(order)))])
+        some, lo = order[lo:hi], hi
+        body = _taken(e, text, begin, some)
+        mine, at = e[some], np.cumsum(size[some]) - size[some]
+        hashes = np.fromiter((xxh3_64_intdigest(body[i : i + n]) for i, n in zip(at.tolist(), size[some].tolist())), np.uint64, len(some))
+        again = _repeated_entries(body, at, mine, hashes)
+        fresh[some[again]] = False
+        spans.append(_repeats(mine[again]))
+        _, gram, count = np.unique(mine["g"][~again], return_inverse=True, return_counts=True)
+        left = np.flatnonzero(~again)[count[gram] > 1]
+        if len(left):
+            found, new = _repeated_windows(mine[left], _taken(mine, body, at, left))
+            spans.append(found)
+            fresh[some[left[~new]]] = False
+    got = np.concatenate(spans)
+    return join_spans(got["d"], got["lo"], got["hi"]), fresh
+
+
 def _repeated_windows(e: np.ndarray, text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(spans of the windows that repeat an earlier one, whether each entry has a window that doesn't), among contexts laid end to end in text."""
     n = e["n"].astype(np.int64)

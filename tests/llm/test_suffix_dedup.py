@@ -59,6 +59,7 @@ def test_hot_grams_and_cut_documents_give_the_same(odd_docs, monkeypatch):
         monkeypatch.setattr(suffix_dedup, "HOT", hot)
         monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
         monkeypatch.setattr(suffix_dedup, "FLUSH", flush)
+        monkeypatch.setattr(suffix_dedup, "SORT_BYTES", chunk)
         suffix_dedup._powers.clear()
         assert local(odd_docs, local_hot=local_hot, group=group) == expected, (hot, chunk, local_hot, group, flush)
     suffix_dedup._powers.clear()
