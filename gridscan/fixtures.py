@@ -32,6 +32,14 @@ class Serial:
     value: float
 
 
+@dataclass(frozen=True)
+class Bare:
+    """A row that doesn't name its place; nor do its cells, but where ``placed`` says so. No cell may be left out in front of another without."""
+
+    cells: list
+    placed: bool = False
+
+
 def letters(column: int) -> str:
     out, n = "", column + 1
     while n:
@@ -76,6 +84,9 @@ class Writer:
                 number += 1
                 if row is None:
                     continue
+                if isinstance(row, Bare):
+                    held.append("<row>" + "".join(self._cell(f"{letters(c)}{number}", v).replace("" if row.placed else f' r="{letters(c)}{number}"', "", 1) for c, v in enumerate(row.cells) if v is not None) + "</row>")
+                    continue
                 if isinstance(row, tuple) and len(row) == 2 and isinstance(row[1], (list, tuple)):
                     number, row = row
                 while len(names) < len(row):

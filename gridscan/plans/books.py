@@ -4,21 +4,26 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import inspect
 import os
 import tempfile
 from collections.abc import Callable, Iterable
+from itertools import chain
 
 from pyspark.sql import SparkSession
 
-from ..fixtures import CELL_LIMIT, Raw, Serial, table_rows, write_book
+from ..fixtures import CELL_LIMIT, Bare, Raw, Serial, table_rows, write_book
 
 Rows = Iterable[list]
 
 
 def _folder(spark: SparkSession) -> str:
-    """Below the folder that executors share, where the session names a local one; else a temporary folder."""
+    """Below the folder that executors share, which must be mounted here; a session in one process may use a temporary folder."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or ""
-    top = shared.removeprefix("file://") if shared.startswith(("file://", "/")) else tempfile.gettempdir()
+    mounted = shared.startswith(("file:", "/"))
+    if not mounted and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("workbooks of the queries need a spark.checkpoint.dir that is mounted on all nodes")
+    top = "/" + shared.removeprefix("file:").lstrip("/") if mounted else tempfile.gettempdir()
     out = os.path.join(top, "gridscan-books")
     os.makedirs(out, exist_ok=True)
     return out
@@ -44,8 +49,8 @@ def rows_of(spark: SparkSession, sf_dir: str, name: str) -> Rows:
 
 
 def book(spark: SparkSession, sf_dir: str, variant: str, tables: list[str], make: Callable[..., dict[str, Rows]], dimension: str | None = None) -> str:
-    """The path of the workbook of a variant; ``make`` gets each table's rows and gives the sheets."""
-    version = [variant, sf_dir, *(_local_table(spark, sf_dir, t)[1] for t in tables)]
+    """The path of the workbook of a variant; ``make`` gets each table's rows and gives the sheets. Its source is part of the name."""
+    version = [variant, inspect.getsource(make), sf_dir, *(_local_table(spark, sf_dir, t)[1] for t in tables)]
     path = os.path.join(_folder(spark), f"{variant}-{hashlib.sha256('|'.join(version).encode()).hexdigest()[:16]}.xlsx")
     if not os.path.exists(path):
         write_book(path, make(*(rows_of(spark, sf_dir, t) for t in tables)), dimension=dimension)
@@ -64,6 +69,17 @@ def preamble(nation: Rows) -> dict[str, Rows]:
     return {"s": [["report"], ["made for tests", 1], [None, "x"], *nation]}
 
 
+def deep_preamble(lineitem: Rows, nation: Rows) -> dict[str, Rows]:
+    """All line items to be skipped, then the nations."""
+    return {"s": chain(lineitem, nation)}
+
+
+def bare_rows(orders: Rows) -> dict[str, Rows]:
+    """The first third of the rows names its places; of the others some do, some have places in their cells alone, and most have none."""
+    rows = list(orders)
+    return {"s": [r if i < len(rows) // 3 or i % 997 == 5 else Bare(r, i % 7 == 3) for i, r in enumerate(rows)]}
+
+
 def headerless(nation: Rows) -> dict[str, Rows]:
     return {"s": list(nation)[1:]}
 

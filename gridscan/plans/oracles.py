@@ -40,6 +40,9 @@ ORACLE_SQL: dict[str, str] = {
     "scan_threads_1": _table("lineitem"),
     "scan_threads_8": _table("lineitem"),
     "scan_skip_rows": _table("nation"),
+    "scan_skip_rows_deep": _table("nation"),
+    "scan_mixed_row_places_1": _table("orders"),
+    "scan_mixed_row_places_8": _table("orders"),
     "scan_no_header_generic_names": _nation('CAST(n_nationkey AS DOUBLE) AS "Numeric0"', 'n_name AS "String1"', 'CAST(n_regionkey AS DOUBLE) AS "Numeric2"'),
     "scan_all_string_no_header": "SELECT 'p_name' AS \"String0\", 'p_brand' AS \"String1\" UNION ALL SELECT p_name, p_brand FROM part",
     "scan_all_string_has_header": "SELECT p_name, p_brand FROM part",

@@ -87,6 +87,9 @@ QUERIES: dict[str, Query] = {
     "scan_threads_1": lambda spark, sf: table(spark, sf, "lineitem", threads=1),
     "scan_threads_8": lambda spark, sf: table(spark, sf, "lineitem", threads=8),
     "scan_skip_rows": _variant("preamble", ["nation"], books.preamble, skip_rows=3),
+    "scan_skip_rows_deep": lambda spark, sf: _deep(spark, sf),
+    "scan_mixed_row_places_1": _variant("bare_rows", ["orders"], books.bare_rows, threads=1),
+    "scan_mixed_row_places_8": _variant("bare_rows", ["orders"], books.bare_rows, threads=8),
     "scan_no_header_generic_names": _variant("headerless", ["nation"], books.headerless),
     "scan_all_string_no_header": _variant("strings_only", ["part"], books.strings_only),
     "scan_all_string_has_header": _variant("strings_only", ["part"], books.strings_only, has_header="true"),
@@ -136,6 +139,11 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def _deep(spark: SparkSession, sf: str) -> DataFrame:
+    skipped = spark.read.parquet(f"{sf}/lineitem.parquet").count() + 1
+    return scan(spark, book(spark, sf, "deep_preamble", ["lineitem", "nation"], books.deep_preamble), skip_rows=skipped)
+
+
 def _given_schema(spark: SparkSession, sf: str) -> DataFrame:
     register(spark)
     return spark.read.format("gridscan").schema("key double, title string, area string").load(table_book(spark, sf, "nation"))

@@ -18,6 +18,7 @@ from ..operators.options import ScanOptions
 
 #: Built-in number formats that show dates or times.
 DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
+_SURROGATE = re.compile("[\ud800-\udfff]")
 _ESCAPE = re.compile(r"_x([0-9A-Fa-f]{4})_")
 _QUOTED = re.compile(r'"[^"]*"|\[(?![hms]+\])[^\]]*\]|\\.|_.|\*.', re.I)
 
@@ -70,6 +71,7 @@ class Sheet:
     path: str
     part: str
     size: int
+    crc: int
     strings_part: str
     date_styles: frozenset[int]
     date1904: bool
@@ -123,7 +125,8 @@ def _locate(z: zipfile.ZipFile, path: str, options: ScanOptions) -> Sheet:
     kinds = {kind: to for kind, to in relations.values()}
     strings, styles = kinds.get("sharedStrings", "xl/sharedStrings.xml"), kinds.get("styles", "xl/styles.xml")
     dates = _date_styles(z.read(styles)) if styles in names else frozenset()
-    return Sheet(path, part, z.getinfo(part).file_size, strings if strings in names else "", dates, date1904)
+    info = z.getinfo(part)
+    return Sheet(path, part, info.file_size, info.CRC, strings if strings in names else "", dates, date1904)
 
 
 def shows_dates(code: str) -> bool:
@@ -140,15 +143,20 @@ def _date_styles(raw: bytes) -> frozenset[int]:
     return frozenset(i for i, n in enumerate(ids) if (shows_dates(custom[n]) if n in custom else n in DATE_FORMATS))
 
 
+def _whole(text: str) -> str:
+    """Text whose surrogates are joined to characters where they pair and replaced by U+FFFD where they don't."""
+    return text.encode("utf-16", "surrogatepass").decode("utf-16", "replace") if _SURROGATE.search(text) else text
+
+
 def plain_text(text: str) -> str:
-    """Text with _xHHHH_ escapes resolved."""
-    return _ESCAPE.sub(lambda m: chr(int(m[1], 16)), text) if "_x" in text else text
+    """Text with _xHHHH_ escapes resolved; two that form a surrogate pair are one character."""
+    return _whole(_ESCAPE.sub(lambda m: chr(int(m[1], 16)), text)) if "_x" in text else text
 
 
 def unescape(text: str) -> str:
     """Text of an XML fragment without tags."""
     if "&" in text:
-        text = re.sub(r"&(#x[0-9A-Fa-f]+|#\d+|amp|lt|gt|quot|apos);", _entity, text)
+        text = _whole(re.sub(r"&(#x[0-9A-Fa-f]+|#\d+|amp|lt|gt|quot|apos);", _entity, text))
     return plain_text(text.replace("\r\n", "\n").replace("\r", "\n") if "\r" in text else text)
 
 
@@ -160,7 +168,8 @@ def _entity(m: re.Match) -> str:
     name = m[1]
     if name[0] != "#":
         return _NAMED[name]
-    return chr(int(name[2:], 16) if name[1] == "x" else int(name[1:]))
+    code = int(name[2:], 16) if name[1] == "x" else int(name[1:])
+    return chr(code) if code < 0x110000 else "\ufffd"
 
 
 _SIMPLE = re.compile(rb"<si><t(?: [^>]*)?>([^<]*)</t></si>")

@@ -11,9 +11,16 @@ from ..operators.infer import DAY, ERROR, FLAG, NUMBER, OTHER_TEXT, TEXT
 from .ooxml import Sheet, open_file, plain_text, unescape
 
 BLOCK = 1 << 20
+#: What may stand in front of a sheet's rows is small; a sheet with more is read by the XML parser.
+HEAD = 16 << 20
 #: One cell as writers commonly put it: place, style, type, perhaps a formula, a value.
 CELL = re.compile(rb'<c r="([A-Z]+)(\d+)"(?: s="(\d+)")?(?: t="(\w+)")?\s*(?:/>|>(?:<f(?: [^>]*)?(?:/>|>[^<]*</f>))?(?:<v(?: [^>]*)?>([^<]*)</v>|<v/>)?(?:<is>(.*?)</is>)?</c>)', re.S)
-ROW = re.compile(rb'<row(?= [^>]*?\br="(\d+)")')
+_ROW = re.compile(rb"<row[ \t\r\n/>]")
+_FIRST_PLACE = re.compile(rb'<row r="(\d+)"')
+_PLACE = re.compile(rb"<row(?=[ \t\r\n])[^>]*?\sr\s*=\s*[\"'](\d+)[\"'][^>]*>")
+_CELL_START = re.compile(rb"<c[ \t\r\n/>]")
+_PREFIXED = re.compile(rb"<\w+:(?:row|c|v|is|f)[ \t\r\n/>]")
+_END = b"</sheetData>"
 _ODD = re.compile(rb"<!\[CDATA\[|<!--|<\w+:(?:row|c|sheetData)\b|<row>|<row (?![^>]*\br=\")|<c>|<c (?![^>]*\br=\")")
 _TAG = re.compile(r"<t(?: [^>]*)?>([^<]*)</t>")
 
@@ -40,12 +47,12 @@ def inflated(sheet: Sheet) -> Iterator[bytes]:
             yield block
 
 
-def head(sheet: Sheet, rows: int) -> bytes:
-    """The start of the sheet's XML, with at least so many rows if there are."""
+def head(sheet: Sheet) -> bytes:
+    """The start of the sheet's XML, with the first rows if there are any."""
     out = b""
     for block in inflated(sheet):
         out += block
-        if out.count(b"</row>") + out.count(b":row>") >= rows or len(out) > 64 * BLOCK:
+        if b"sheetData" in out or len(out) > HEAD:
             break
     return out
 
@@ -67,23 +74,33 @@ def inline_text(raw: bytes) -> str:
 
 
 class _Handler:
-    """Expat events to rows of (number, [(column, style, type, value)])."""
+    """Expat events within sheetData to rows of [number, first byte, [(column, style, type, value)]].
 
-    def __init__(self) -> None:
-        self.rows: list[tuple[int, list[tuple[int, bytes, bytes, str]]]] = []
-        self.row, self.column, self.cell, self.keep, self.skip = 0, 0, None, False, 0
+    A row without a place follows the one before, or stands where its first cell with a place says.
+    """
+
+    def __init__(self, inside: bool, before: int) -> None:
+        self.rows: list[list] = []
+        self.inside, self.row, self.column, self.cell, self.keep, self.skip, self.free = inside, before, 0, None, False, 0, False
         self.text: list[str] = []
         self.some = False
+        self.place = lambda: 0
 
     def start(self, tag: str, a: dict[str, str]) -> None:
         tag = tag.rpartition(":")[2]
-        if tag == "row":
-            self.row = int(a.get("r", self.row + 1))
+        if not self.inside:
+            self.inside = tag == "sheetData"
+        elif tag == "row":
+            self.free = "r" not in a
+            self.row = self.row + 1 if self.free else int(a["r"])
             self.column = 0
-            self.rows.append((self.row, []))
-        elif tag == "c":
-            place = re.match("[A-Z]+", a.get("r", ""))
-            self.column = column_number(place[0]) if place else self.column
+            self.rows.append([self.row, self.place(), []])
+        elif tag == "c" and self.rows:
+            place = re.match(r"([A-Z]+)(\d*)", a.get("r", ""))
+            self.column = column_number(place[1]) if place else self.column
+            if self.free and place and place[2]:
+                self.row = self.rows[-1][0] = max(self.row, int(place[2]))
+                self.free = False
             self.cell = (a.get("s", "").encode(), a.get("t", "").encode())
             self.text, self.some = [], False
         elif tag == "rPh":
@@ -99,84 +116,179 @@ class _Handler:
             self.skip -= 1
         elif tag == "c" and self.cell:
             if self.some and (self.text or self.cell[1] in (b"str", b"inlineStr")):
-                self.rows[-1][1].append((self.column, *self.cell, plain_text("".join(self.text)) if self.cell[1] in (b"str", b"inlineStr") else "".join(self.text)))
+                self.rows[-1][2].append((self.column, *self.cell, plain_text("".join(self.text)) if self.cell[1] in (b"str", b"inlineStr") else "".join(self.text)))
             self.column += 1
             self.cell = None
+        elif tag == "sheetData":
+            self.inside = False
 
     def data(self, text: str) -> None:
         if self.keep:
             self.text.append(text)
 
 
-def parsed(blocks: Iterator[bytes]) -> Iterator[tuple[int, list[tuple[int, bytes, bytes, str]]]]:
-    """All rows by a full XML parser; a cut-off end raises expat.ExpatError after the rows before it."""
-    handler, parser = _Handler(), expat.ParserCreate()
+def parsed(blocks: Iterator[bytes], inside: bool = False, before: int = 0) -> Iterator[tuple[int, int, list[tuple[int, bytes, bytes, str]]]]:
+    """All rows as (number, first byte, cells) by a full XML parser; a cut-off end raises expat.ExpatError after the rows before it.
+
+    ``inside`` tells that the blocks begin within sheetData, behind row number ``before``.
+    """
+    handler, parser = _Handler(inside, before), expat.ParserCreate()
     parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = handler.start, handler.end, handler.data
     parser.buffer_text = True
+    handler.place = lambda: parser.CurrentByteIndex
     for block in blocks:
         parser.Parse(block)
         whole = handler.rows[:-1]
         del handler.rows[:-1]
-        yield from whole
-    yield from handler.rows
+        yield from map(tuple, whole)
+    yield from map(tuple, handler.rows)
     parser.Parse(b"", True)
 
 
-def slices(sheet: Sheet, lo: int, hi: int) -> Iterator[tuple[int, bytes]]:
-    """(number of the row before, bytes of whole rows) of the rows that begin in [lo, hi) of the sheet's XML.
-
-    The number is 0 where no row comes before. Rows are handed on in pieces of about a block.
+class Odd(Exception):
+    """Something that needs the XML parser: comments, CDATA, prefixes, or a row that doesn't name its place."""
+
+
+def _strange(piece: bytes) -> bool:
+    return b"<!" in piece or ((b":row" in piece or b":c" in piece or b":v" in piece) and _PREFIXED.search(piece) is not None)
+
+
+class _Ahead:
+    """The bytes of a sheet up to the end of its rows: those in hand, and where they begin."""
+
+    def __init__(self, sheet: Sheet) -> None:
+        self.blocks = inflated(sheet)
+        self.held, self.at, self.ended = b"", 0, False
+
+    def more(self) -> bool:
+        """Take another block in hand; raises Odd if it needs the parser."""
+        block = b"" if self.ended else next(self.blocks, b"")
+        if not block:
+            return False
+        edge = self.held[-64:]
+        new = edge + block
+        end = new.find(_END)
+        if end >= 0:
+            new, self.ended = new[: end + len(_END)], True
+        if _strange(new):
+            raise Odd
+        self.held += new[len(edge) :]
+        return True
+
+    def drop(self, n: int) -> None:
+        self.at, self.held = self.at + n, self.held[n:]
+
+    def first(self, start: int) -> int:
+        """Where the first row begins from ``start`` on, or -1."""
+        m = _ROW.search(self.held, max(0, start))
+        return m.start() if m else -1
+
+    def last(self, end: int) -> int:
+        """Where the last row begins before ``end``, or -1."""
+        i = min(end, len(self.held)) + 4
+        while (i := self.held.rfind(b"<row", 0, i)) >= 0:
+            if i < end and self.held[i + 4 : i + 5] in (b" ", b"\t", b"\r", b"\n", b"/", b">"):
+                return i
+            i += 3
+        return -1
+
+    def number(self, i: int) -> int | None:
+        """The number of the row that begins at i, None if its tag isn't all in hand; raises Odd if it has none."""
+        close = self.held.find(b">", i)
+        if close < 0:
+            return None
+        m = _PLACE.match(self.held, i, close + 1)
+        if not m:
+            raise Odd
+        return int(m[1])
+
+
+def last_number(piece: bytes) -> int:
+    """The number of the last of whole rows; raises Odd if any of them has none."""
+    rows, places = _ROW.findall(piece), _FIRST_PLACE.findall(piece)
+    if len(places) != len(rows):
+        places = _PLACE.findall(piece)
+        if len(places) != len(rows):
+            raise Odd
+    return int(places[-1])
+
+
+def slices(sheet: Sheet, lo: int, hi: int) -> Iterator[tuple[int, bytes, int]]:
+    """(number of the row before, bytes of whole rows, number of the last of them) of the rows that begin in [lo, hi) of the sheet's XML.
+
+    The number is 0 where no row comes before. Rows are handed on in pieces of about a block. Raises Odd where the XML parser is needed,
+    before lo too: ``numbered`` then reads the range.
     """
-    blocks = inflated(sheet)
-    held, at, before = b"", 0, 0
-
-    def more() -> bool:
-        nonlocal held
-        block = next(blocks, None)
-        held += block or b""
-        return block is not None
-
+    s, before = _Ahead(sheet), 0
     while True:  # the last row that begins before lo
-        seen = at + len(held) >= lo + 4
-        i = held.rfind(b"<row ", 0, max(0, lo - at + 4))
+        far = s.at + len(s.held) >= lo + 5
+        i = s.last(lo - s.at)
         if i >= 0:
-            m = ROW.match(held, i)
-            if not m:
-                if not more():
+            number = s.number(i)
+            if number is None:
+                if not s.more():
                     return
                 continue
-            before = int(m[1])
-        cut = i + 5 if i >= 0 else max(0, len(held) - 4) if not seen else 0
-        at, held = at + cut, held[cut:]
-        if seen:
+            before = number
+            s.drop(i + 5)
+        elif not far:
+            s.drop(max(0, len(s.held) - 8))
+        if far or not s.more():
             break
-        if not more():
-            return
-    while (i := held.find(b"<row ", max(0, lo - at))) < 0:  # the first that begins after
-        if b"</sheetData>" in held:
-            return
-        cut = max(0, len(held) - 16)
-        at, held = at + cut, held[cut:]
-        if not more():
+    while (i := s.first(lo - s.at)) < 0:  # the first that begins after
+        s.drop(max(0, len(s.held) - 8))
+        if not s.more():
             return
-    if at + i >= hi:
+    if s.at + i >= hi:
         return
-    at, held = at + i, held[i:]
+    s.drop(i)
     while True:
-        ends = [x for x in (held.find(b"</sheetData>"), held.find(b"<row ", max(0, hi - at))) if x >= 0]
-        cut = min(ends) if ends else max(held.rfind(b"<row "), 0)
-        if cut:
-            numbers = ROW.findall(held, 0, cut)
-            yield before, held[:cut]
-            before = int(numbers[-1]) if numbers else before
-            at, held = at + cut, held[cut:]
-        if ends:
+        beyond = s.first(hi - s.at)
+        ended = beyond >= 0 or s.ended
+        cut = beyond if beyond >= 0 else s.held.rfind(_END) if ended else s.last(len(s.held))
+        if cut > 0:
+            piece = s.held[:cut]
+            last = last_number(piece)
+            yield before, piece, last
+            before = last
+            s.drop(cut)
+        if ended:
             return
-        if not more():
+        if not s.more():
             raise ValueError("the sheet is cut off")
 
 
+def _from(s: _Ahead) -> Iterator[bytes]:
+    """What is in hand from its first row on and all rows that follow, as the content of one element."""
+    i = s.first(0)
+    yield b"<sheetData>"
+    yield s.held[i:] if i >= 0 else _END
+    edge = s.held[-len(_END) + 1 :]
+    while i >= 0 and not s.ended and (block := next(s.blocks, b"")):
+        end = (edge + block).find(_END)
+        yield block if end < 0 else block[: end + len(_END) - len(edge)]
+        s.ended, edge = end >= 0, (edge + block)[-len(_END) + 1 :]
+
+
+def rows_after(sheet: Sheet, skip: int) -> Iterator[tuple[int, int, list[tuple[int, bytes, bytes, str]]]]:
+    """Rows of numbers above ``skip`` by the parser; those before are looked through, block by block, and not held."""
+    s = _Ahead(sheet)
+    try:
+        while skip and s.more():
+            i = s.last(len(s.held))
+            if i < 0:
+                s.drop(max(0, len(s.held) - 8))
+            elif (number := s.number(i)) is not None:
+                if number > skip:
+                    break
+                s.drop(i)
+    except Odd:
+        s = None
+    blocks = _from(s) if s and skip else inflated(sheet)
+    yield from (row for row in parsed(blocks, bool(s and skip)) if row[0] > skip)
+
+
 def tokens(piece: bytes) -> list[tuple[bytes, bytes, bytes, bytes, bytes, bytes]] | None:
     """(column letters, row, style, type, value, inline string) of every cell, or None if some cell is written otherwise."""
     found = CELL.findall(piece)
-    return found if len(found) == len(re.findall(rb"<c[ >/]", piece)) else None
+    return found if len(found) == len(_CELL_START.findall(piece)) else None

@@ -26,6 +26,7 @@ from .ooxml import Sheet, locate, shared_strings
 
 NAME = "gridscan"
 PROBE_ROWS = 100
+_CLOSE = b"</sheetData>"
 #: Uncompressed bytes of XML that a task takes at least and, unless threads says otherwise, at most.
 LEAST_SLICE, MOST_SLICE = 256 << 10, 32 << 20
 #: Rows per batch of missing rows and of sheets that need the XML parser.
@@ -53,14 +54,10 @@ def bind(options: opts.ScanOptions) -> Scan:
     """Find the sheet and settle its columns from the head alone."""
     sheet = locate(options)
     try:
-        start = xml.head(sheet, options.skip_rows + PROBE_ROWS + 2)
+        start = xml.head(sheet)
         strings = None
-        found = []
-        probe = (r for r in xml.parsed(xml.inflated(sheet)) if r[0] > options.skip_rows)
-        for row in islice(probe, PROBE_ROWS + 2):
-            found.append(row)
         first = []
-        for number, cells in found:
+        for number, _, cells in islice(xml.rows_after(sheet, options.skip_rows), PROBE_ROWS + 2):
             kinds = {}
             for c, style, code, value in cells:
                 kind = xml.kind_of(style, code, sheet.date_styles)
@@ -79,17 +76,21 @@ def bind(options: opts.ScanOptions) -> Scan:
 def batches(scan: Scan, lo: int, hi: int):
     """Record batches of the rows that begin in [lo, hi)."""
     strings = shared_strings(scan.sheet)
-    if not scan.ordinary:
-        yield from _by_parser(scan, xml.parsed(xml.inflated(scan.sheet)), scan.plan.start, strings)
-        return
-    for before, piece in xml.slices(scan.sheet, lo, hi):
-        found = xml.tokens(piece) if not xml._ODD.search(piece) else None
-        if found is None:
-            wrapped = xml.parsed(iter([b'<x xmlns:r="r" xmlns:x14ac="a" xmlns:spans="s">' + piece + b"</x>"]))
-            yield from _by_parser(scan, wrapped, max(before, scan.plan.start), strings)
-            continue
-        numbers = xml.ROW.findall(piece)
-        yield from _columns(scan, found, max(before, scan.plan.start), int(numbers[-1]) if numbers else before, strings)
+    done = scan.plan.start
+    if scan.ordinary:
+        try:
+            for before, piece, last in xml.slices(scan.sheet, lo, hi):
+                found = xml.tokens(piece)
+                if found is None:
+                    wrapped = xml.parsed(iter([b"<sheetData>", piece, _CLOSE]), True, before)
+                    yield from _by_parser(scan, wrapped, max(before, done), strings)
+                else:
+                    yield from _columns(scan, found, max(before, done), last, strings)
+                done = max(done, last)
+            return
+        except xml.Odd:
+            pass  # the parser goes on behind the last row that was handed out
+    yield from _by_parser(scan, xml.parsed(xml.inflated(scan.sheet)), done, strings, lo, hi)
 
 
 def _columns(scan: Scan, found: list[tuple], before: int, last: int, strings: pa.Array):
@@ -144,8 +145,8 @@ def _batch(scan: Scan, n: int, before: int, row, col, kind, text: pa.Array, stri
     return pa.RecordBatch.from_arrays(out, schema=scan.arrow_schema())
 
 
-def _by_parser(scan: Scan, rows, before: int, strings: pa.Array):
-    """Batches from rows of the XML parser."""
+def _by_parser(scan: Scan, rows, before: int, strings: pa.Array, lo: int = 0, hi: int | None = None):
+    """Batches from rows of the XML parser that begin in [lo, hi) and have numbers above ``before``."""
     held: list[tuple[int, list]] = []
 
     def flush():
@@ -161,9 +162,14 @@ def _by_parser(scan: Scan, rows, before: int, strings: pa.Array):
         yield _batch(scan, last - before, before, row, np.array([f[1] for f in flat], np.int64), kind, pa.array([f[4] for f in flat], pa.string()), strings)
         before = last
 
-    for number, cells in rows:
+    for number, at, cells in rows:
+        if hi is not None and at >= hi:
+            break
         if number <= before:
             continue
+        if at < lo:
+            before = number
+            continue
         if held and (len(held) >= BATCH_ROWS or number - held[-1][0] > BATCH_ROWS):
             yield from flush()
         held.append((number, cells))

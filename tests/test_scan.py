@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from gridscan import errors
-from gridscan.fixtures import Raw, Serial, Writer, write_book
+from gridscan.fixtures import Bare, Raw, Serial, Writer, write_book
 from gridscan.operators import options as opts
 from gridscan.sources import ooxml
 from gridscan.sources import sheet as sheets
@@ -264,6 +264,69 @@ def test_any_cut_gives_the_same_rows(make, monkeypatch):
     assert [r for a, b in zip(edges, edges[1:]) for r in flat(a, b)] == want
 
 
+@pytest.mark.parametrize("placed", [False, True])
+def test_rows_that_stop_naming_their_places(make, placed):
+    """Places stop in the middle of the sheet, on all rows or on some: no row is lost, whatever the ranges."""
+    rows = [["k", "t"], *([i, f"t{i % 9}"] for i in range(30_000))]
+    want = read(make(*rows))
+    some = [r if i < 15_000 or i % 13 == 0 else Bare(r, placed) for i, r in enumerate(rows)]
+    for bare in (some, [r if i < 15_000 else Bare(r, placed) for i, r in enumerate(rows)], [r if i < 200 else Bare(r, placed or i % 2 == 0) for i, r in enumerate(rows)]):
+        path = make(*bare)
+        for threads in (1, 4):
+            assert read(path, threads=threads) == want
+    gap = make(*rows[:500], (900, [1, "after"]), Bare([2, "next"], placed))
+    assert read(gap)[2][-402:] == [(498, "t3"), *[(None, None)] * 399, (1, "after"), (2, "next")]
+
+
+def bare(raw, r, rows, cells):
+    """The sheet's XML without the places of some rows and cells."""
+    import re
+
+    raw = re.sub(rb'<row r="\d+"', lambda m: b"<row" if r.random() < rows else m[0], raw)
+    return re.sub(rb'<c r="\w+"', lambda m: b"<c" if r.random() < cells else m[0], raw)
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(0, 10**6), st.sampled_from([0.0, 0.02, 0.5, 1.0]), st.sampled_from([0.0, 0.02, 0.5, 1.0]), st.integers(1, 9))
+def test_places_left_out_at_random_change_nothing(tmp_path_factory, seed, rows, cells, threads):
+    r = random.Random(seed)
+    path = str(tmp_path_factory.mktemp("p") / "b.xlsx")
+    write_book(path, {"s": [["a", "b", "c"], *([i, f"t{i % 5}", i % 2 == 0] for i in range(r.randrange(2, 400)))]})
+    want = read(path)
+    edit(path, "xl/worksheets/sheet1.xml", lambda raw: bare(raw, r, rows, cells))
+    old = sheets.LEAST_SLICE, sheets.xml.BLOCK
+    sheets.LEAST_SLICE, sheets.xml.BLOCK = 64, r.choice([97, 1000, 1 << 20])
+    try:
+        assert read(path, threads=threads) == want
+    finally:
+        sheets.LEAST_SLICE, sheets.xml.BLOCK = old
+
+
+def test_any_cut_of_a_sheet_with_late_oddities(make, monkeypatch):
+    """Comments, CDATA, prefixes and missing places late in the sheet send each range to the parser by itself."""
+    rows = [["k", "t"], *([i, f"t{i}"] for i in range(60))]
+    part = "xl/worksheets/sheet1.xml"
+    monkeypatch.setattr(sheets.xml, "HEAD", 10)
+    changes = [
+        lambda raw: raw.replace(b'<row r="40">', b"<!-- <row r='3'><c/></row> --><row r='40'>"),
+        lambda raw: raw.replace(b'<row r="40">', b'<row r="40"><!-- </sheetData> <row r="2"> -->'),
+        lambda raw: raw.replace(b'<row r="40">', b"<row>").replace(b'<row r="52">', b"<row spans='1:2'>"),
+        lambda raw: raw.replace(b'<row r="40"', b"<row\n  r = '40'"),
+        lambda raw: raw.replace(b"<v>30</v>", b"<v><![CDATA[30]]></v>"),
+        lambda raw: raw.replace(b"</sheetData>", b"</sheetData><controls><xdr:row>7</xdr:row><row r='2'/></controls>"),
+    ]
+    for change in changes:
+        path = edit(make(*rows), part, change)
+        want = read(make(*rows))[2]
+        scan = bind(opts.parse({"path": path}))
+        flat = lambda lo, hi: [r for b in batches(scan, lo, hi) for r in zip(*(c.to_pylist() for c in b.columns))]  # noqa: B023,E731
+        for block in (1 << 20, 150):
+            monkeypatch.setattr(sheets.xml, "BLOCK", block)
+            for step in (53, 400):
+                edges = [*range(0, scan.sheet.size, step), scan.sheet.size]
+                assert [r for a, b in zip(edges, edges[1:]) for r in flat(a, b)] == want
+
+
 def test_parser_and_tokenizer_agree(make):
     import dataclasses
 
@@ -338,6 +401,31 @@ def test_writer_is_plain(tmp_path):
     assert zipfile.ZipFile(tmp_path / "a.xlsx").testzip() is None
 
 
+def test_long_skips_are_streamed(make, monkeypatch):
+    """Skipped rows are never held: what is in hand stays at a few blocks, and the parser sees little more than the rows behind the skip."""
+    monkeypatch.setattr(sheets.xml, "BLOCK", 4096)
+    path = make(*([i, "x" * 5, i / 7] for i in range(20_000)), *X01)
+    held = []
+    more = sheets.xml._Ahead.more
+    monkeypatch.setattr(sheets.xml._Ahead, "more", lambda s: (held.append(len(s.held)), more(s))[1])
+    fed = []
+    parsed = sheets.xml.parsed
+    monkeypatch.setattr(sheets.xml, "parsed", lambda blocks, *a: parsed((fed.append(len(b)) or b for b in blocks), *a))
+    scan = bind(opts.parse({"path": path, "skip_rows": 20_000}))
+    assert scan.plan.names == ("a", "b", "c") and max(held) < 4 * 4096 and sum(fed) < 5 * 4096
+    assert read(path, skip_rows=20_000)[2] == read(make(*X01))[2]
+    for skip in (1, 19_999, 20_001):
+        assert len(read(path, skip_rows=skip, types="VARCHAR,VARCHAR,VARCHAR", force_types=True)[2]) in (20_003 - skip, 20_002 - skip)
+
+
+def test_escaped_surrogates(make):
+    odd = {"_xD83D__xDE00_": "\U0001f600", "a_xD800_b": "a\ufffdb", "_xDE00__xD83D_": "\ufffd\ufffd", "_x0041__xD83D_": "A\ufffd"}
+    assert [r[0] for r in read(make(*([t, 1] for t in odd)))[2]] == list(odd.values())
+    path = make(["s", 1], *([Raw('t="str"', f"<v>{t}</v>"), 2] for t in odd))
+    assert [r[0] for r in read(path, inline_strings="read")[2]] == ["s", *odd.values()]
+    assert ooxml.unescape("&#xD83D;&#xDE00;&#x110000;&#xDC00;") == "\U0001f600\ufffd\ufffd"
+
+
 def test_types_are_told_behind_a_long_skip(make, monkeypatch):
     """The rows to skip are longer than the head of the sheet that is held."""
     r = random.Random(3)
