@@ -26,3 +26,5 @@ FEW_TYPES = "types has {given} entries, but the sheet has {width} columns"
 TYPE_MISMATCH = "declared type {declared} of column {column} does not fit its inferred type {inferred}"
 WIDE_ROW = "row {row} has more columns than the first rows: it has {has}, expected {expected}"
 FEW_FIELDS = "the given schema has {given} fields, but the sheet has {width} columns"
+OTHER_FIELDS = "the given schema has {given} fields, but columns names {chosen}"
+NO_COLUMN = "no column is named {name!r}; there are: {names}"

@@ -32,6 +32,7 @@ class ScanOptions:
     force_types: bool = False
     coerce_to_string: bool = False
     inline_strings: str = "error"
+    columns: tuple[str, ...] | None = None
 
 
 def type_name(raw: str) -> str:
@@ -64,6 +65,30 @@ def _boolean(name: str, value) -> bool:
     return text == "true"
 
 
+def chosen(columns: tuple[str, ...] | None, names: tuple[str, ...]) -> tuple[int, ...]:
+    """Numbers of the named columns, in any case; all if none are named."""
+    if columns is None:
+        return tuple(range(len(names)))
+    at = {n.lower(): c for c, n in enumerate(names)}
+    for n in columns:
+        if n.lower() not in at:
+            raise errors.SheetError(errors.NO_COLUMN.format(name=n, names=", ".join(names)))
+    return tuple(dict.fromkeys(at[n.lower()] for n in columns))
+
+
+def _names(value) -> tuple[str, ...]:
+    """Names from an array, a JSON list or a list parted by commas."""
+    if isinstance(value, str):
+        try:
+            value = json.loads(value) if value.strip().startswith("[") else value.split(",")
+        except ValueError:
+            raise errors.SheetError(errors.BAD_OPTION.format(name="columns", what="a list of names", value=value)) from None
+    found = tuple(str(x).strip() for x in value)
+    if not found or not all(found):
+        raise errors.SheetError(errors.BAD_OPTION.format(name="columns", what="a list of names", value=value))
+    return found
+
+
 def _types(value) -> tuple[str, ...]:
     if isinstance(value, str):
         text = value.strip()
@@ -100,6 +125,8 @@ def parse(raw: dict) -> ScanOptions:
             out[name] = _boolean(name, value)
         elif name == "types":
             out[name] = _types(value)
+        elif name == "columns":
+            out[name] = _names(value)
         elif name == "inline_strings":
             if value not in ("error", "read"):
                 raise errors.SheetError(errors.BAD_OPTION.format(name=name, what="error or read", value=value))

@@ -65,6 +65,12 @@ ORACLE_SQL: dict[str, str] = {
     "view_using": "SELECT r_name, CAST(r_regionkey + 1 AS DOUBLE) AS next_key FROM region",
     "ctas_roundtrip": _with("SELECT * FROM {supplier} WHERE s_acctbal > 0", "supplier"),
     "count_star": "SELECT count(*) AS n FROM lineitem",
+    "scan_columns": "SELECT CAST(o_orderdate AS DATE) AS o_orderdate, CAST(o_orderkey AS DOUBLE) AS o_orderkey FROM orders",
+    "filters_of_every_kind": _with(
+        "SELECT * FROM {orders} WHERE o_orderpriority LIKE '1%' AND o_orderstatus IN ('F', 'O', 'P') AND o_totalprice >= 1000 AND o_orderkey IS NOT NULL "
+        "AND (o_custkey < 700 OR o_custkey <> 900) AND o_orderdate BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' AND contains(o_orderpriority, 'URG')",
+        "orders",
+    ),
     "filter_project": _with("SELECT l_orderkey, l_quantity * 2 AS double_quantity FROM {lineitem} WHERE l_quantity < 5 AND l_returnflag = 'R' AND l_shipdate >= DATE '1998-01-01'", "lineitem"),
     "limit_sorted": _with("SELECT o_orderkey, o_orderdate FROM {orders} ORDER BY o_orderkey DESC LIMIT 25", "orders"),
     "topk": _with("SELECT c_custkey, c_acctbal FROM {customer} ORDER BY c_acctbal DESC, c_custkey LIMIT 10", "customer"),

@@ -108,8 +108,17 @@ QUERIES: dict[str, Query] = {
     "udtf_scan_nation": _udtf,
     "view_using": _view,
     "ctas_roundtrip": _ctas,
-    "count_star": _sql("SELECT count(*) AS n FROM {lineitem}", "lineitem"),
-    "filter_project": _sql("SELECT l_orderkey, l_quantity * 2 AS double_quantity FROM {lineitem} WHERE l_quantity < 5 AND l_returnflag = 'R' AND l_shipdate >= DATE '1998-01-01'", "lineitem"),
+    "count_star": lambda spark, sf: table(spark, sf, "lineitem", columns="l_linenumber").agg(F.count("*").alias("n")),
+    "scan_columns": lambda spark, sf: table(spark, sf, "orders", columns="o_orderdate,O_ORDERKEY"),
+    "filters_of_every_kind": _sql(
+        "SELECT * FROM {orders} WHERE o_orderpriority LIKE '1%' AND o_orderstatus IN ('F', 'O', 'P') AND o_totalprice >= 1000.0D AND o_orderkey IS NOT NULL "
+        "AND (o_custkey < 700 OR o_custkey <> 900) AND o_orderdate BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' AND contains(o_orderpriority, 'URG')",
+        "orders",
+    ),
+    "filter_project": lambda spark, sf: spark.sql(
+        "SELECT l_orderkey, l_quantity * 2 AS double_quantity FROM {lineitem} WHERE l_quantity < 5 AND l_returnflag = 'R' AND l_shipdate >= DATE '1998-01-01'",
+        lineitem=table(spark, sf, "lineitem", columns="l_orderkey,l_quantity,l_returnflag,l_shipdate"),
+    ),
     "limit_sorted": _sql("SELECT o_orderkey, o_orderdate FROM {orders} ORDER BY o_orderkey DESC LIMIT 25", "orders"),
     "topk": _sql("SELECT c_custkey, c_acctbal FROM {customer} ORDER BY c_acctbal DESC, c_custkey LIMIT 10", "customer"),
     "q1_pricing_summary": _sql(

@@ -5,8 +5,12 @@ from __future__ import annotations
 import re
 import zipfile
 from collections.abc import Iterator
+from dataclasses import dataclass
 from xml.parsers import expat
 
+import numpy as np
+import pyarrow as pa
+
 from ..operators.infer import DAY, ERROR, FLAG, NUMBER, OTHER_TEXT, TEXT
 from .ooxml import Sheet, open_file, plain_text, unescape
 
@@ -16,7 +20,6 @@ HEAD = 16 << 20
 #: One cell as writers commonly put it: place, style, type, perhaps a formula, a value.
 CELL = re.compile(rb'<c r="([A-Z]+)(\d+)"(?: s="(\d+)")?(?: t="(\w+)")?\s*(?:/>|>(?:<f(?: [^>]*)?(?:/>|>[^<]*</f>))?(?:<v(?: [^>]*)?>([^<]*)</v>|<v/>)?(?:<is>(.*?)</is>)?</c>)', re.S)
 _ROW = re.compile(rb"<row[ \t\r\n/>]")
-_FIRST_PLACE = re.compile(rb'<row r="(\d+)"')
 _PLACE = re.compile(rb"<row(?=[ \t\r\n])[^>]*?\sr\s*=\s*[\"'](\d+)[\"'][^>]*>")
 _CELL_START = re.compile(rb"<c[ \t\r\n/>]")
 _PREFIXED = re.compile(rb"<\w+:(?:row|c|v|is|f)[ \t\r\n/>]")
@@ -150,7 +153,7 @@ class Odd(Exception):
 
 
 def _strange(piece: bytes) -> bool:
-    return b"<!" in piece or ((b":row" in piece or b":c" in piece or b":v" in piece) and _PREFIXED.search(piece) is not None)
+    return (b"!" in piece and b"<!" in piece) or (b":" in piece and (b":row" in piece or b":c" in piece or b":v" in piece) and _PREFIXED.search(piece) is not None)
 
 
 class _Ahead:
@@ -203,21 +206,16 @@ class _Ahead:
         return int(m[1])
 
 
-def last_number(piece: bytes) -> int:
-    """The number of the last of whole rows; raises Odd if any of them has none."""
-    rows, places = _ROW.findall(piece), _FIRST_PLACE.findall(piece)
-    if len(places) != len(rows):
-        places = _PLACE.findall(piece)
-        if len(places) != len(rows):
-            raise Odd
-    return int(places[-1])
+def all_placed(piece: bytes) -> bool:
+    """Whether all rows of a piece name their places."""
+    return len(_PLACE.findall(piece)) == len(_ROW.findall(piece))
 
 
 def slices(sheet: Sheet, lo: int, hi: int) -> Iterator[tuple[int, bytes, int]]:
     """(number of the row before, bytes of whole rows, number of the last of them) of the rows that begin in [lo, hi) of the sheet's XML.
 
     The number is 0 where no row comes before. Rows are handed on in pieces of about a block. Raises Odd where the XML parser is needed,
-    before lo too: ``numbered`` then reads the range.
+    before lo too, except for places that are missing within a piece: ``cells`` and ``all_placed`` tell those.
     """
     s, before = _Ahead(sheet), 0
     while True:  # the last row that begins before lo
@@ -247,9 +245,8 @@ def slices(sheet: Sheet, lo: int, hi: int) -> Iterator[tuple[int, bytes, int]]:
         ended = beyond >= 0 or s.ended
         cut = beyond if beyond >= 0 else s.held.rfind(_END) if ended else s.last(len(s.held))
         if cut > 0:
-            piece = s.held[:cut]
-            last = last_number(piece)
-            yield before, piece, last
+            last = s.number(s.last(cut))
+            yield before, s.held[:cut], last
             before = last
             s.drop(cut)
         if ended:
@@ -288,6 +285,111 @@ def rows_after(sheet: Sheet, skip: int) -> Iterator[tuple[int, int, list[tuple[i
     yield from (row for row in parsed(blocks, bool(s and skip)) if row[0] > skip)
 
 
+@dataclass(frozen=True)
+class Cells:
+    """Cells of a piece, one entry each: row number, column, style (0 if none), first byte of the type (0 if none), whether there is a value, value."""
+
+    row: np.ndarray
+    col: np.ndarray
+    style: np.ndarray
+    code: np.ndarray
+    there: np.ndarray
+    values: pa.Array
+
+
+_LT, _GT, _QUOTE, _SPACE, _SLASH = b'<>" /'
+#: Longest numbers that are read in place: rows and styles.
+_DIGITS = 7
+
+
+def _number_at(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the number whose digits begin at each place, where they end)."""
+    value, at, on = np.zeros(len(at), np.int64), at.copy(), np.ones(len(at), bool)
+    for _ in range(_DIGITS):
+        digit = data[at] - 48  # unsigned: all else is 10 or more
+        on &= digit < 10
+        if not on.any():
+            break
+        value = np.where(on, value * 10 + digit, value)
+        at += on
+    return value, at
+
+
+def _is(data: np.ndarray, at: np.ndarray, text: bytes) -> np.ndarray:
+    out = np.ones(len(at), bool)
+    for k, c in enumerate(text):
+        out &= data[at + k] == c
+    return out
+
+
+def cells(piece: bytes) -> Cells | None:
+    """All cells of whole rows in the spelling that writers use, told from the places of tags alone; None if anything is spelled otherwise.
+
+    A row is ``<row r="1" ...>``, a cell ``<c r="A1" s="2" t="s"><v>3</v></c>`` without s, t or all that is within it; types are single letters.
+    """
+    data = np.frombuffer(piece + b"\0" * 64, np.uint8)
+    tag = np.flatnonzero(data[: len(piece)] == _LT)
+    kind = data[tag + 1]
+    rows, found = np.flatnonzero(kind == 114), np.flatnonzero(kind == 99)  # r, c
+    if not len(rows) or not _is(data, tag[rows], b'<row r="').all():
+        return None
+    number, end = _number_at(data, tag[rows] + 8)
+    closed = np.count_nonzero((kind == _SLASH) & (data[tag + 2] == 114))
+    if not (data[end] == _QUOTE).all():
+        return None
+    if not len(found):
+        return Cells(*[np.empty(0, np.int64)] * 2, *[np.empty(0, np.uint8)] * 2, np.empty(0, bool), pa.array([], pa.string())) if len(tag) == len(rows) + closed else None
+    at = tag[found]
+    if not _is(data, at, b'<c r="').all():
+        return None
+    own = np.searchsorted(rows, found) - 1
+    one, two, three = (data[at + k].astype(np.int64) - 64 for k in (6, 7, 8))
+    more, most = (two > 0) & (two < 27), (two > 0) & (two < 27) & (three > 0) & (three < 27)
+    col = np.where(most, (one * 26 + two) * 26 + three, np.where(more, one * 26 + two, one)) - 1
+    told, at = _number_at(data, at + 7 + more + most)
+    if own[0] < 0 or ((one < 1) | (one > 26) | (data[at] != _QUOTE) | (told != number[own])).any():
+        return None
+    at = at + 1
+    styled = (data[at] == _SPACE) & (data[at + 1] == 115)
+    style = np.zeros(len(at), np.int64)
+    if styled.any():
+        where = np.flatnonzero(styled)
+        if not _is(data, at[where], b' s="').all():
+            return None
+        style[where], end = _number_at(data, at[where] + 4)
+        if not (data[end] == _QUOTE).all():
+            return None
+        at[where] = end + 1
+    typed = (data[at] == _SPACE) & (data[at + 1] == 116)
+    code = np.zeros(len(at), np.uint8)
+    if typed.any():
+        where = np.flatnonzero(typed)
+        if not (_is(data, at[where], b' t="') & (data[at[where] + 5] == _QUOTE)).all():
+            return None
+        code[where] = data[at[where] + 4]
+        at[where] += 6
+    empty = (data[at] == _SLASH) & (data[at + 1] == _GT)
+    full = np.flatnonzero(~empty)
+    if len(tag) != len(rows) + closed + len(found) + 3 * len(full) or not (data[at[full]] == _GT).all():
+        return None
+    # The three tags behind a cell that isn't empty must be those of its value and its own end.
+    inner = found[full]
+    if len(inner) and inner[-1] + 3 >= len(tag):
+        return None
+    value, after, last = tag[inner + 1], tag[inner + 2], tag[inner + 3]
+    if not ((value == at[full] + 1) & _is(data, value, b"<v>") & _is(data, after, b"</v>") & (last == after + 4) & _is(data, last, b"</c>")).all():
+        return None
+    size = np.zeros(len(found), np.int64)
+    size[full] = after - value - 3
+    ends = np.cumsum(size)
+    begin = np.zeros(len(found), np.int64)
+    begin[full] = value + 3
+    source = np.repeat(begin - (ends - size), size) + np.arange(int(ends[-1]))
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    values = pa.StringArray.from_buffers(len(found), pa.py_buffer(offsets), pa.py_buffer(data[source]))
+    return Cells(number[own], col, style, code, size > 0, values)
+
+
 def tokens(piece: bytes) -> list[tuple[bytes, bytes, bytes, bytes, bytes, bytes]] | None:
     """(column letters, row, style, type, value, inline string) of every cell, or None if some cell is written otherwise."""
     found = CELL.findall(piece)

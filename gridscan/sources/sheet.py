@@ -9,7 +9,7 @@ task keeps no state and can be run again anywhere.
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import islice
 
 import numpy as np
@@ -20,7 +20,7 @@ from pyspark.sql.types import BooleanType, DateType, DoubleType, StringType, Str
 from .. import errors
 from ..operators import options as opts
 from ..operators.convert import ARROW, column
-from ..operators.infer import OTHER_TEXT, TEXT, SheetPlan, infer
+from ..operators.infer import DAY, ERROR, NUMBER, TEXT, SheetPlan, infer
 from . import rows as xml
 from .ooxml import Sheet, locate, shared_strings
 
@@ -42,12 +42,14 @@ class Scan:
     sheet: Sheet
     plan: SheetPlan
     ordinary: bool
+    #: Numbers of the columns that are read.
+    keep: tuple[int, ...]
 
     def spark_schema(self) -> StructType:
-        return StructType([StructField(n, _SPARK[t], True) for n, t in zip(self.plan.names, self.plan.types)])
+        return StructType([StructField(self.plan.names[c], _SPARK[self.plan.types[c]], True) for c in self.keep])
 
     def arrow_schema(self) -> pa.Schema:
-        return pa.schema([(n, ARROW[t]) for n, t in zip(self.plan.names, self.plan.types)])
+        return pa.schema([(self.plan.names[c], ARROW[self.plan.types[c]]) for c in self.keep])
 
 
 def bind(options: opts.ScanOptions) -> Scan:
@@ -70,7 +72,8 @@ def bind(options: opts.ScanOptions) -> Scan:
         raise
     except Exception as e:
         raise errors.SheetError(errors.CANNOT_PARSE.format(why=e)) from e
-    return Scan(options, sheet, infer(first, xml.dimension(start)[0], options), xml.is_ordinary(start))
+    plan = infer(first, xml.dimension(start)[0], options)
+    return Scan(options, sheet, plan, xml.is_ordinary(start), opts.chosen(options.columns, plan.names))
 
 
 def batches(scan: Scan, lo: int, hi: int):
@@ -80,12 +83,16 @@ def batches(scan: Scan, lo: int, hi: int):
     if scan.ordinary:
         try:
             for before, piece, last in xml.slices(scan.sheet, lo, hi):
-                found = xml.tokens(piece)
-                if found is None:
+                quick = xml.cells(piece)
+                if quick is not None:
+                    yield from _columns(scan, quick, max(before, done), last, strings)
+                elif not xml.all_placed(piece):
+                    raise xml.Odd
+                elif (found := xml.tokens(piece)) is not None:
+                    yield from _columns(scan, _spelled(found), max(before, done), last, strings)
+                else:
                     wrapped = xml.parsed(iter([b"<sheetData>", piece, _CLOSE]), True, before)
                     yield from _by_parser(scan, wrapped, max(before, done), strings)
-                else:
-                    yield from _columns(scan, found, max(before, done), last, strings)
                 done = max(done, last)
             return
         except xml.Odd:
@@ -93,28 +100,45 @@ def batches(scan: Scan, lo: int, hi: int):
     yield from _by_parser(scan, xml.parsed(xml.inflated(scan.sheet)), done, strings, lo, hi)
 
 
-def _columns(scan: Scan, found: list[tuple], before: int, last: int, strings: pa.Array):
-    """Rows before + 1 to last from tokens, as one batch, after the rows that are missing in front of them."""
+def _spelled(found: list[tuple]) -> xml.Cells:
+    """Tokens as cells; inline texts become values, and types of several letters keep their first, but for ``inlineStr`` and ``str``."""
+    letters, numbers, styles, codes, values, inline = zip(*found) if found else [()] * 6
+    index = {x: xml.column_number(x.decode()) for x in set(letters)}
+    known = {c: _CODES.get(c, c[:1] if len(c) < 2 else b"?") for c in set(codes)}
+    texts = [xml.inline_text(i) if i else xml.unescape(v.decode()) if c in _CODES else v.decode() for v, i, c in zip(values, inline, codes)]
+    return xml.Cells(
+        np.array(numbers, "S").astype(np.int64) if numbers else np.empty(0, np.int64),
+        np.fromiter(map(index.__getitem__, letters), np.int64, len(letters)),
+        np.array([int(x or 0) for x in styles], np.int64),
+        np.frombuffer(b"".join(known[c] or b"\0" for c in codes), np.uint8),
+        np.array([bool(v) or c in _CODES for v, c in zip(values, codes)], bool),
+        pa.array(texts, pa.string()),
+    )
+
+
+#: One byte for the types that hold texts of their own.
+_CODES = {b"str": b"f", b"inlineStr": b"i"}
+
+
+def _kinds(cells: xml.Cells, dates: frozenset[int]) -> np.ndarray:
+    """The kind of every cell from its style and type."""
+    table = np.full(256, ERROR, np.int8)
+    for c in (b"s", b"b", b"d", b"f", b"i"):
+        table[c[0]] = xml.kind_of(b"", {v: k for k, v in _CODES.items()}.get(c, c), dates)
+    out = table[cells.code]
+    plain = (cells.code == 0) | (cells.code == ord("n"))
+    return np.where(plain, np.where(np.isin(cells.style, list(dates)), DAY, NUMBER), out).astype(np.int8)
+
+
+def _columns(scan: Scan, cells: xml.Cells, before: int, last: int, strings: pa.Array):
+    """Rows before + 1 to last from cells, as one batch, after the rows that are missing in front of them."""
     n = last - before
     if n <= 0:
         return
-    if found:
-        letters, numbers, styles, codes, values, inline = zip(*found)
-        row = np.array(numbers).astype(np.int64) - before - 1
-        index = {x: xml.column_number(x.decode()) for x in set(letters)}
-        col = np.fromiter(map(index.__getitem__, letters), np.int64, len(letters))
-        pairs = list(zip(styles, codes))
-        known = {p: xml.kind_of(*p, scan.sheet.date_styles) for p in set(pairs)}
-        kind = np.fromiter(map(known.__getitem__, pairs), np.int8, len(pairs))
-        text = _values(known, kind, values, inline)
-        there = np.array([bool(v) for v in values]) if b"" in values else np.ones(len(col), bool)
-        there |= kind == OTHER_TEXT
-        there &= row >= 0
-        if not there.all():
-            row, col, kind, text = row[there], col[there], kind[there], text.filter(pa.array(there))
-    else:
-        row = col = np.empty(0, np.int64)
-        kind, text = np.empty(0, np.int8), pa.array([], pa.string())
+    row, col, kind, text = cells.row - before - 1, cells.col, _kinds(cells, scan.sheet.date_styles), cells.values
+    there = cells.there & (row >= 0)
+    if not there.all():
+        row, col, kind, text = row[there], col[there], kind[there], text.filter(pa.array(there))
     # Rows that are absent before the first one here come as batches of nulls.
     skip = int(row.min()) if len(row) else n
     while skip > BATCH_ROWS:
@@ -123,13 +147,6 @@ def _columns(scan: Scan, found: list[tuple], before: int, last: int, strings: pa
     yield _batch(scan, n, before, row, col, kind, text, strings)
 
 
-def _values(known: dict, kind: np.ndarray, values: tuple, inline: tuple) -> pa.Array:
-    if OTHER_TEXT not in known.values():
-        return pa.array(values, pa.binary()).cast(pa.string())
-    texts = [xml.inline_text(i) if i else xml.unescape(v.decode()) if k == OTHER_TEXT else v.decode() for k, v, i in zip(kind.tolist(), values, inline)]
-    return pa.array(texts, pa.string())
-
-
 def _batch(scan: Scan, n: int, before: int, row, col, kind, text: pa.Array, strings: pa.Array) -> pa.RecordBatch:
     plan, o = scan.plan, scan.options
     width = len(plan.types)
@@ -139,9 +156,9 @@ def _batch(scan: Scan, n: int, before: int, row, col, kind, text: pa.Array, stri
     order = np.argsort(col, kind="stable")
     edges = np.searchsorted(col[order], np.arange(width + 1))
     out = []
-    for c, t in enumerate(plan.types):
+    for c in scan.keep:
         at = order[edges[c] : edges[c + 1]]
-        out.append(column(t, n, row[at], kind[at], text.take(pa.array(at)), strings, o.coerce_to_string, scan.sheet.date1904, o.inline_strings == "read"))
+        out.append(column(plan.types[c], n, row[at], kind[at], text.take(pa.array(at)), strings, o.coerce_to_string, scan.sheet.date1904, o.inline_strings == "read"))
     return pa.RecordBatch.from_arrays(out, schema=scan.arrow_schema())
 
 
@@ -200,6 +217,12 @@ class SheetSlice(InputPartition):
 
 
 class SheetReader(DataSourceReader):
+    """Plans and reads a bound scan.
+
+    It takes no pushed filters: Spark 4.1 keeps the reader, and with it the filters, of one query on a DataFrame for the
+    next query on it, which would then lose rows.
+    """
+
     def __init__(self, scan: Scan) -> None:
         self.scan = scan
 
@@ -213,12 +236,18 @@ class SheetReader(DataSourceReader):
 class SheetSource(DataSource):
     """``spark.read.format("gridscan").option(...).load("book.xlsx")``."""
 
+    _bound: Scan | None = None
+
     @classmethod
     def name(cls) -> str:
         return NAME
 
     def _scan(self) -> Scan:
-        return bind(opts.parse(dict(self.options)))
+        """The bound scan; it is kept as long as the workbook stays the same."""
+        options = opts.parse(dict(self.options))
+        if self._bound is None or locate(options) != self._bound.sheet:
+            self._bound = bind(options)
+        return self._bound
 
     def schema(self) -> StructType:
         return self._scan().spark_schema()
@@ -232,10 +261,16 @@ class SheetSource(DataSource):
 
 def _with_schema(scan: Scan, schema: StructType) -> Scan:
     """The scan under a schema that the caller gave: its names and types by position, like forced types."""
-    if len(schema) < scan.plan.width:
-        raise errors.SheetError(errors.FEW_FIELDS.format(given=len(schema), width=scan.plan.width))
-    types = tuple(opts.type_name(f.dataType.simpleString()) for f in schema)
-    return Scan(scan.options, scan.sheet, SheetPlan(tuple(f.name for f in schema), types, scan.plan.start, scan.plan.width), scan.ordinary)
+    names, types, keep = list(scan.plan.names), list(scan.plan.types), scan.keep
+    if scan.options.columns is None:
+        if len(schema) < scan.plan.width:
+            raise errors.SheetError(errors.FEW_FIELDS.format(given=len(schema), width=scan.plan.width))
+        names, types, keep = [""] * len(schema), [""] * len(schema), tuple(range(len(schema)))
+    elif len(schema) != len(keep):
+        raise errors.SheetError(errors.OTHER_FIELDS.format(given=len(schema), chosen=len(keep)))
+    for c, f in zip(keep, schema):
+        names[c], types[c] = f.name, opts.type_name(f.dataType.simpleString())
+    return replace(scan, plan=SheetPlan(tuple(names), tuple(types), scan.plan.start, scan.plan.width), keep=keep)
 
 
 __all__ = ["Scan", "SheetSource", "batches", "bind", "default_threads", "ranges"]

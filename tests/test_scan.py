@@ -327,6 +327,37 @@ def test_any_cut_of_a_sheet_with_late_oddities(make, monkeypatch):
                 assert [r for a, b in zip(edges, edges[1:]) for r in flat(a, b)] == want
 
 
+def test_quick_cells_equal_tokens(make, monkeypatch):
+    """The three readers of cells agree on a sheet of every kind of cell, and the quick one takes the spelling of common writers."""
+    r = random.Random(8)
+    kinds = [lambda i: i, lambda i: i / 7, lambda i: f"t{i % 11}", lambda i: i % 2 == 0, lambda i: DAY, lambda i: None, lambda i: ERR, lambda i: Raw('s="12"', "<v>1e5</v>"), lambda i: Raw('s="0"', "<v></v>"), lambda i: Raw('t="n"', "<v>7</v>")]
+    rows = [["h"] * 30, *([r.choice(kinds)(i) for _ in range(30)] for i in range(400))]
+    rows[1] = [k % 3 for k in range(30)]
+    wide = [[1] * 800, [2] * 800, [3] * 800]
+    for path in (make(*rows), make(*wide), edit(make(*rows), "xl/worksheets/sheet1.xml", lambda raw: raw.replace(b"><v></v></c>", b"/>").replace(b"<row ", b"\n <row ").replace(b'"><c', b'" spans="1:30" ht="15"><c'))):
+        want = read(path)
+        used = []
+        quick = sheets.xml.cells
+        monkeypatch.setattr(sheets.xml, "cells", lambda piece: used.append(quick(piece)) or used[-1])
+        assert read(path) == want and any(u is not None for u in used)
+        monkeypatch.setattr(sheets.xml, "cells", lambda piece: None)
+        assert read(path) == want
+        monkeypatch.setattr(sheets.xml, "tokens", lambda piece: None)
+        assert read(path) == want
+        monkeypatch.undo()
+
+
+def test_quick_cells_refuse_other_spellings():
+    good = b'<row r="5"><c r="A5" s="2" t="s"><v>1</v></c><c r="BC5"/></row><row r="6"/>'
+    got = sheets.xml.cells(good)
+    assert (got.row.tolist(), got.col.tolist(), got.style.tolist(), got.code.tolist(), got.there.tolist(), got.values.to_pylist()) == ([5, 5], [0, 54], [2, 0], [ord("s"), 0], [True, False], ["1", ""])
+    for old, new in (
+        (b'<row r="5"', b"<row"), (b'<row r="6"', b'<row s="1" r="6"'), (b'<c r="A5"', b"<c"), (b'r="A5"', b'r="A7"'), (b's="2" t="s"', b't="s" s="2"'), (b't="s"', b't="str"'), (b"<v>1", b"<f>2</f><v>1"),
+        (b"<v>1</v>", b"<v>1</v><v>2</v>"), (b"<v>1</v>", b"<is>1</is>"), (b"<v>", b"<v >"), (b"</c>", b"</c >"), (b'r="BC5"', b"r='BC5'"), (b'r="A5"', b'r="5"'), (b"</row>", b"<x/></row>"), (b'<c r="BC5"/>', b'<c r="BC5" cm="1"/>'),
+    ):
+        assert old in good and sheets.xml.cells(good.replace(old, new, 1)) is None, new
+
+
 def test_parser_and_tokenizer_agree(make):
     import dataclasses
 
@@ -373,6 +404,56 @@ def test_spark_source_and_function_agree(spark, make, monkeypatch):
     assert df.rdd.getNumPartitions() > 1
 
 
+def test_one_frame_under_many_filters(spark, make):
+    """No query on a frame leaves a filter behind for the next; NaN and null cells included."""
+    import gridscan
+
+    r = random.Random(9)
+    nan = Raw('s="0"', "<v>NaN</v>")
+    rows = [[r.choice([None, i / 3, -0.0, 0, nan]), r.choice([None, f"t{i % 9}", "x%y", ""]), r.choice([None, True, False])] for i in range(900)]
+    path = make(["k", "text", "flag"], [1, "x", True], *rows)
+    gridscan.register(spark)
+    whole = spark.read.format("gridscan").option("threads", 3).load(path)
+    known = spark.createDataFrame(whole.collect(), whole.schema)
+    for condition in ("k = 0", "coalesce(k, 9) = 9", "k > 50", "k is null", "k = double('NaN')", "k in (1, 0, 100)", "text like 't%'", "k = 1 or text = 't3'", "flag", "not flag and k >= 0"):
+        assert sorted(map(str, whole.where(condition).collect())) == sorted(map(str, known.where(condition).collect())), condition
+    assert whole.count() == 901
+
+
+def test_chosen_columns(spark, make):
+    import gridscan
+
+    path = make(["a", "b,c", "d"], *([i, f"t{i}", i % 2 == 0] for i in range(20)))
+    names, types, rows = read(path, columns='["D", "b,c", "d"]')
+    assert rows == [(i % 2 == 0, f"t{i}") for i in range(20)]
+    assert read(path, columns="a")[2] == [(float(i),) for i in range(20)]
+    for bad in ("nope", "", "[1", "[]", "a,,d"):
+        with pytest.raises(errors.SheetError):
+            read(path, columns=bad)
+    fails(errors.WIDE_ROW, make([1, 2], [3, 4], [5, 6, 7], dimension="A1:B3"), columns="Numeric0")
+    gridscan.register(spark)
+    df = spark.read.format("gridscan").option("columns", "d,a").load(path)
+    assert df.dtypes == [("d", "boolean"), ("a", "double")] and df.where("a > 17").collect() == [(True, 18.0), (False, 19.0)]
+    given = spark.read.format("gridscan").schema("x string, y double").option("columns", '["b,c", "a"]').load(path)
+    assert given.orderBy("y").first() == ("t0", 0.0)
+    sql = spark.sql(f"SELECT * FROM read_sheet('{path}', columns => array('a', 'd')) WHERE a < 2")
+    assert sorted(sql.collect()) == [(0.0, True), (1.0, False)]
+    with pytest.raises(Exception, match="columns names 1"):
+        spark.read.format("gridscan").schema("x string, y double").option("columns", "a").load(path).collect()
+
+
+def test_a_workbook_that_changes_is_bound_anew(spark, make):
+    import shutil
+
+    import gridscan
+
+    path, other = make(*X01), make(["a", "b", "c"], *([f"x{i}", i, "y"] for i in range(500)))
+    gridscan.register(spark)
+    df = spark.read.format("gridscan").load(path)
+    shutil.copyfile(other, path)
+    assert df.count() == 500
+
+
 def test_spark_errors_carry_their_message(spark, make):
     import gridscan
 
