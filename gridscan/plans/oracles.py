@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..fixtures import CELL_LIMIT
 from .books import GAP, SERIALS, day_of
-from .queries import TABLES
+from .queries import SHARED, TABLES
 
 
 def _read_back(column: str, kind: str) -> str:
@@ -21,7 +21,7 @@ def _table(name: str) -> str:
 
 def _with(sql: str, *names: str) -> str:
     for n in names:
-        sql = sql.replace("{" + n + "}", f"({_table(n)}) {n}_sheet")
+        sql = sql.replace("{" + n + "}", f"({_table(n)})")
     return sql
 
 
@@ -35,6 +35,12 @@ def _nation(*extra: str) -> str:
 
 ORACLE_SQL: dict[str, str] = {
     **{f"scan_{t}": _table(t) for t in TABLES},
+    **{name: _with(sql, *names) for name, (sql, names) in SHARED.items()},
+    "asof_join": _with(
+        "SELECT l.o_orderkey, r.o_orderdate AS asof_day FROM (SELECT * FROM {orders} WHERE o_orderstatus = 'O') AS l ASOF LEFT JOIN (SELECT * FROM {orders} WHERE o_orderstatus = 'F') AS r "
+        "ON l.o_custkey = r.o_custkey AND l.o_orderdate >= r.o_orderdate",
+        "orders",
+    ),
     "scan_by_sheet_name": _table("region"),
     "scan_by_sheet_index": _table("region"),
     "scan_threads_1": _table("lineitem"),
@@ -84,7 +90,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "left_join_count": _with("SELECT c_custkey, count(o_orderkey) AS n FROM {customer} LEFT JOIN {orders} ON o_custkey = c_custkey GROUP BY c_custkey", "orders", "customer"),
     "semi_join": _semi(" AND o.o_totalprice > 200000", "EXISTS"),
-    "anti_join": _semi("", "NOT EXISTS"),
+    "anti_join": _semi(" AND o.o_totalprice > 400000 AND o.o_orderpriority = '1-URGENT'", "NOT EXISTS"),
     "rollup_segment": _with("SELECT c_mktsegment, c_nationkey, count(*) AS n FROM {customer} GROUP BY ROLLUP (c_mktsegment, c_nationkey)", "customer"),
     "distinct_agg": _with(
         "SELECT l_returnflag, count(DISTINCT l_suppkey) AS n_suppliers, min(l_shipdate) AS first_day, max(l_shipdate) AS last_day FROM {lineitem} GROUP BY l_returnflag", "lineitem"

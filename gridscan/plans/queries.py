@@ -80,8 +80,74 @@ def _ctas(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(name)
 
 
+#: Queries whose SQL Spark and DuckDB read alike: (SQL, tables).
+SHARED: dict[str, tuple[str, tuple[str, ...]]] = {
+    "right_join": ("SELECT s_suppkey, n_name FROM {supplier} RIGHT JOIN {nation} ON s_nationkey = n_nationkey AND s_acctbal > 5000", ("supplier", "nation")),
+    "full_join": (
+        "SELECT a.k AS supplier_key, b.k AS customer_key FROM (SELECT s_suppkey AS k FROM {supplier} WHERE s_acctbal > 0) AS a FULL JOIN (SELECT c_custkey AS k FROM {customer} WHERE c_custkey <= 150) AS b ON a.k = b.k",
+        ("supplier", "customer"),
+    ),
+    "cross_join": ("SELECT r_name, n_name FROM {region} CROSS JOIN {nation}", ("region", "nation")),
+    "theta_join": ("SELECT a.n_name AS low, b.n_name AS high FROM {nation} AS a JOIN {nation} AS b ON a.n_regionkey <> b.n_regionkey AND a.n_nationkey < b.n_nationkey", ("nation",)),
+    "range_join": (
+        "SELECT a.s_suppkey AS k, b.s_suppkey AS near_k FROM {supplier} AS a JOIN {supplier} AS b ON b.s_acctbal BETWEEN a.s_acctbal - 100 AND a.s_acctbal + 100 AND a.s_suppkey < b.s_suppkey WHERE a.s_nationkey < 12",
+        ("supplier",),
+    ),
+    "self_join": ("SELECT a.o_custkey, count(*) AS n FROM {orders} AS a JOIN {orders} AS b ON a.o_custkey = b.o_custkey AND a.o_orderdate < b.o_orderdate GROUP BY a.o_custkey", ("orders",)),
+    "in_subquery": ("SELECT c_custkey FROM {customer} WHERE c_nationkey IN (SELECT n_nationkey FROM {nation} WHERE n_regionkey = 1) AND c_custkey NOT IN (SELECT o_custkey FROM {orders} WHERE o_totalprice > 490000)", ("customer", "nation", "orders")),
+    "correlated_subquery": (
+        "SELECT o.o_orderkey FROM {orders} AS o WHERE o.o_totalprice > (SELECT 1.9 * avg(p.o_totalprice) FROM {orders} AS p WHERE p.o_custkey = o.o_custkey)",
+        ("orders",),
+    ),
+    "group_having": ("SELECT o_custkey, count(*) AS n, max(o_orderdate) AS last_day FROM {orders} GROUP BY o_custkey HAVING count(*) > 12 AND min(o_totalprice) < 50000", ("orders",)),
+    "grouping_sets": (
+        "SELECT c_mktsegment, c_nationkey, CAST(grouping(c_nationkey) AS INT) AS all_nations, count(*) AS n FROM {customer} GROUP BY GROUPING SETS ((c_mktsegment, c_nationkey), (c_mktsegment), ())",
+        ("customer",),
+    ),
+    "cube": ("SELECT o_orderstatus, o_orderpriority, count(*) AS n, CAST(round(sum(o_totalprice) * 100) AS BIGINT) AS cents FROM {orders} GROUP BY CUBE (o_orderstatus, o_orderpriority)", ("orders",)),
+    "filtered_aggregates": (
+        "SELECT o_orderstatus, count(*) FILTER (WHERE o_totalprice > 250000) AS dear, count(DISTINCT o_custkey) AS customers, max(CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey END) AS last_urgent, "
+        "CAST(round(stddev_samp(o_totalprice)) AS BIGINT) AS deviation FROM {orders} GROUP BY o_orderstatus",
+        ("orders",),
+    ),
+    "window_frames": (
+        "SELECT o_orderkey, CAST(round(sum(o_totalprice) OVER w * 100) AS BIGINT) AS three_cents, first_value(o_orderkey) OVER w AS first_key, lead(o_orderkey, 2) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS later, "
+        "count(*) OVER (PARTITION BY o_custkey ORDER BY o_orderdate RANGE BETWEEN INTERVAL '90' DAY PRECEDING AND CURRENT ROW) AS in_90_days, CAST(ntile(4) OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS INT) AS quarter, "
+        "CAST(dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS INT) AS level FROM {orders} WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)",
+        ("orders",),
+    ),
+    "union_all": ("SELECT n_nationkey AS k FROM {nation} UNION ALL SELECT s_nationkey FROM {supplier}", ("nation", "supplier")),
+    "intersect_all": ("SELECT c_nationkey AS k FROM {customer} INTERSECT ALL SELECT s_nationkey FROM {supplier}", ("customer", "supplier")),
+    "except_all": ("SELECT c_nationkey AS k FROM {customer} EXCEPT ALL SELECT s_nationkey FROM {supplier}", ("customer", "supplier")),
+    "string_functions": (
+        "SELECT p_partkey, upper(p_name) AS up, lower(p_brand) AS low, substr(p_type, 2, 5) AS part, CAST(length(p_name) AS BIGINT) AS n, replace(p_brand, '#', '-') AS dashed, concat(p_brand, '/', p_type) AS both_names, "
+        "lpad(p_brand, 12, '*') AS padded, trim(concat('  ', p_type, ' ')) AS trimmed, reverse(p_brand) AS turned, p_name LIKE '%a%' AS has_a, CAST(instr(p_name, 'e') AS BIGINT) AS first_e, split_part(p_type, ' ', 1) AS word FROM {part}",
+        ("part",),
+    ),
+    "date_and_number_functions": (
+        "SELECT o_orderkey, CAST(year(o_orderdate) AS BIGINT) AS y, CAST(month(o_orderdate) AS BIGINT) AS m, CAST(quarter(o_orderdate) AS BIGINT) AS q, CAST(day(last_day(o_orderdate)) AS BIGINT) AS end_day, "
+        "CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start, CAST(o_orderdate + INTERVAL '40' DAY AS DATE) AS due, abs(o_totalprice - 250000) AS off, CAST(floor(o_totalprice / 1000) AS BIGINT) AS thousands, "
+        "CAST(ceil(o_totalprice / 1000) AS BIGINT) AS up, greatest(o_totalprice, 100000) AS at_least, coalesce(nullif(o_orderstatus, 'F'), 'done') AS state, CASE WHEN o_totalprice < 1e5 THEN 'low' WHEN o_totalprice < 4e5 THEN 'mid' ELSE 'high' END AS band, "
+        "CAST(mod(o_orderkey, 7) AS BIGINT) AS seventh, CAST(round(sqrt(o_totalprice)) AS BIGINT) AS root FROM {orders}",
+        ("orders",),
+    ),
+}
+
+ASOF = (
+    "SELECT o_orderkey, asof_day FROM (SELECT o_orderkey, side, max(day) OVER (PARTITION BY k ORDER BY t, side) AS asof_day FROM ("
+    "SELECT o_custkey AS k, o_orderdate AS t, o_orderkey, CAST(NULL AS DATE) AS day, 1 AS side FROM {orders} WHERE o_orderstatus = 'O' "
+    "UNION ALL SELECT o_custkey, o_orderdate, NULL, o_orderdate, 0 FROM {orders} WHERE o_orderstatus = 'F')) WHERE side = 1"
+)
+
+
+def _shared(sql: str, names: tuple[str, ...]) -> Query:
+    return lambda spark, sf: spark.sql(sql, **{n: table(spark, sf, n) for n in names})
+
+
 QUERIES: dict[str, Query] = {
     **_scans(),
+    **{name: _shared(*q) for name, q in SHARED.items()},
+    "asof_join": _sql(ASOF, "orders"),
     "scan_by_sheet_name": _variant("two_sheets", ["nation", "region"], books.two_sheets, sheet_name="Regions"),
     "scan_by_sheet_index": _variant("two_sheets", ["nation", "region"], books.two_sheets, sheet_index=2),
     "scan_threads_1": lambda spark, sf: table(spark, sf, "lineitem", threads=1),
@@ -131,7 +197,7 @@ QUERIES: dict[str, Query] = {
     ),
     "left_join_count": _sql("SELECT c_custkey, count(o_orderkey) AS n FROM {customer} LEFT JOIN {orders} ON o_custkey = c_custkey GROUP BY c_custkey", "orders", "customer"),
     "semi_join": _sql("SELECT c_custkey, c_name FROM {customer} LEFT SEMI JOIN {orders} ON o_custkey = c_custkey AND o_totalprice > 200000", "orders", "customer"),
-    "anti_join": _sql("SELECT c_custkey, c_name FROM {customer} LEFT ANTI JOIN {orders} ON o_custkey = c_custkey", "orders", "customer"),
+    "anti_join": _sql("SELECT c_custkey, c_name FROM {customer} LEFT ANTI JOIN {orders} ON o_custkey = c_custkey AND o_totalprice > 400000 AND o_orderpriority = '1-URGENT'", "orders", "customer"),
     "rollup_segment": _sql("SELECT c_mktsegment, c_nationkey, count(*) AS n FROM {customer} GROUP BY ROLLUP (c_mktsegment, c_nationkey)", "customer"),
     "distinct_agg": _sql("SELECT l_returnflag, count(DISTINCT l_suppkey) AS n_suppliers, min(l_shipdate) AS first_day, max(l_shipdate) AS last_day FROM {lineitem} GROUP BY l_returnflag", "lineitem"),
     "window_rank": _sql(
