@@ -72,7 +72,7 @@ def with_next(rows: DataFrame, key: str, tie: Column, columns: list[str], bucket
     placed = rows.withColumn(t, tie).withColumn(b, ranges.bucket(k, F.col(t)))
     copy = _copied(placed, ranges, k, b, t)
     dealt = placed.withColumn(f"{p}at", F.explode(F.concat(F.array(F.struct(F.col(b).alias("b"), F.lit(0).alias("ghost"))), copy)))
-    dealt = dealt.withColumn(b, F.col(f"{p}at.b")).withColumn(ghost, F.col(f"{p}at.ghost")).drop(f"{p}at").repartition(max(buckets, 1), b)
+    dealt = dealt.withColumn(b, F.col(f"{p}at.b")).withColumn(ghost, F.col(f"{p}at.ghost")).drop(f"{p}at").repartitionById(ranges.buckets, b)
     order = Window.partitionBy(b).orderBy(ghost, F.col(f"`{key}`").asc_nulls_first(), t)
     return dealt.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns]).where(F.col(ghost) == 0).drop(b, ghost, t)
 

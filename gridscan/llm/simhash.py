@@ -471,8 +471,8 @@ def _rooted(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Dat
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of docs.
 
-    Null and blank texts have fingerprint zero and link like any other. Rows without an id take part
-    and get the smallest id of their component, null if it has none. Repeated rows stay repeated.
+    Null and blank texts have fingerprint zero and link like any other; long texts are hashed whole. Rows without an id take part
+    and get the smallest id of their component, null if it has none. Repeated rows stay repeated; an empty table gives none; other columns are not read.
     """
     fps, named = _rooted(docs, id_col, text_col)
     first = fps.groupBy("fp").agg(F.min("id").alias("first"))
