@@ -1,6 +1,6 @@
 """The SQL table function ``read_sheet(path, option => value, ...)``.
 
-It is one task and the convenient form; the data source reads the same in parallel.
+It is one task and the convenient form; the data source, which ``CREATE VIEW ... USING gridscan`` names in SQL, reads the same in parallel.
 """
 
 from __future__ import annotations
@@ -26,4 +26,4 @@ class ReadSheet:
             yield from zip(*(c.to_pylist() for c in batch.columns))
 
 
-read_sheet = udtf(ReadSheet)
+read_sheet = udtf(ReadSheet, useArrow=True)
