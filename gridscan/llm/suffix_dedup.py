@@ -54,6 +54,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _POS_BITS = np.uint64(22)
 _ENTRY = np.dtype([("g", "<u8"), ("c", "<u8"), ("d", "<i8"), ("p", "<i8"), ("x", "u1"), ("n", "u1")])
+#: What travels of an entry; the hash of its context has then done its work.
+_DEALT = ("g", "d", "p", "x", "n")
 _SPANS = np.dtype([("d", "<i8"), ("lo", "<i8"), ("hi", "<i8")])
 _powers: dict[str, np.ndarray] = {}
 
@@ -215,7 +217,7 @@ def _span_rows(spans: np.ndarray, buckets: int) -> list[tuple]:
 
 def _request_rows(ask: np.ndarray, hot: np.ndarray, buckets: int) -> list[tuple]:
     ask = ask.copy()
-    ask["c"] = hot  # the context's hash has done its work
+    ask["c"] = hot
     return [_row(b, REQUESTS, part.tobytes()) for b, part in _split(ask, _doc_bucket(ask["d"], buckets))]
 
 
@@ -239,7 +241,7 @@ def _scan(gram_buckets: int, doc_buckets: int, local_hot: int | None = None):
             rows += [_row(b, MARKS, part.tobytes()) for b, part in _split(marks, (marks % np.uint64(gram_buckets)).astype(np.int64))]
             e = e[~hot]
             for b, part in _split(e, (e["g"] % np.uint64(gram_buckets)).astype(np.int64)):
-                rows.append(_row(b, ENTRIES, b"".join(np.ascontiguousarray(part[c]).tobytes() for c in _ENTRY.names)))
+                rows.append(_row(b, ENTRIES, b"".join(np.ascontiguousarray(part[c]).tobytes() for c in _DEALT)))
             return _batch(rows)
 
         for buffer, docs in _chunks(batches):
@@ -281,12 +283,11 @@ def _chunks(batches):
 
 
 def _from_columns(raw: bytes) -> np.ndarray:
-    n = len(raw) // _ENTRY.itemsize
-    out, at = np.empty(n, _ENTRY), 0
-    for c in _ENTRY.names:
-        kind = _ENTRY[c]
-        out[c] = np.frombuffer(raw, kind, n, at)
-        at += n * kind.itemsize
+    n = len(raw) // sum(_ENTRY[c].itemsize for c in _DEALT)
+    out, at = np.zeros(n, _ENTRY), 0
+    for c in _DEALT:
+        out[c] = np.frombuffer(raw, _ENTRY[c], n, at)
+        at += n * _ENTRY[c].itemsize
     return out
 
 
