@@ -253,16 +253,39 @@ def shingle_set(text: bytes | None, width: int = LIKE_WIDTH) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
+#: Rows that are counted bit by bit rather than added up three by three.
+_FEW = 32
+
+
+def bit_counts(rows: np.ndarray) -> np.ndarray:
+    """How many of the rows, (n, words) unsigned 64-bit, have each of the 64 * words bits set.
+
+    Three rows at a time are added as bits (a sum and a carry of twice its weight), so that few rows of every weight are left to count.
+    """
+    n, width = rows.shape
+    out = np.zeros(64 * width, np.int64)
+    weight = 1
+    while len(rows):
+        carries = []
+        while len(rows) > _FEW:
+            m = len(rows) // 3
+            a, b, c = rows[:m], rows[m : 2 * m], rows[2 * m : 3 * m]
+            odd = a ^ b
+            carries.append((a & b) | (odd & c))
+            rows = np.concatenate([odd ^ c, rows[3 * m :]])
+        bits = np.unpackbits(np.ascontiguousarray(rows).view(np.uint8), axis=1, bitorder="little")
+        out += weight * bits.sum(0, dtype=np.int64)
+        rows, weight = np.concatenate(carries) if carries else rows[:0], 2 * weight
+    return out
+
+
 def like_fingerprint(hashes: np.ndarray, words: int = 4) -> bytes:
     """The majority of each of 64 bits a word over all hashes; zeros for none. At most LIKE_WORDS words."""
-    out = []
-    for k in range(words):
-        ones = np.zeros(BITS, np.int64)
-        for at in range(0, len(hashes), _STEP):
-            g = _mixed(hashes[at : at + _STEP] * _ODD[k + 1] + np.uint64(k))
-            ones += np.unpackbits(g.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int32)
-        out.append(np.packbits(2 * ones > len(hashes), bitorder="little").tobytes())
-    return b"".join(out)
+    ones = np.zeros(BITS * words, np.int64)
+    step = _STEP >> 3  # what stays in a processor's cache
+    for at in range(0, len(hashes), step):
+        ones += bit_counts(_mixed(hashes[at : at + step, None] * _ODD[1 : words + 1] + np.arange(words, dtype=np.uint64)))
+    return np.packbits(2 * ones > len(hashes), bitorder="little").tobytes()
 
 
 def shard_keys(hashes: np.ndarray) -> list[int]:

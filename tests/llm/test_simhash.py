@@ -166,6 +166,25 @@ def test_fingerprints_differ_as_likeness_tells():
     assert bits[0] == 0 and bits[0] < bits[1] < bits[2] < bits[3] and 100 < bits[3] < 156
 
 
+def test_bits_are_counted_alike():
+    r = np.random.default_rng(17)
+    for n, words in ((0, 4), (1, 1), (2, 16), (32, 3), (33, 16), (100, 2), (1000, 16), (4097, 1)):
+        rows = r.integers(0, 1 << 63, (n, words), dtype=np.uint64) * np.uint64(2) + r.integers(0, 2, (n, words), dtype=np.uint64)
+        want = [[int(sum(int(x) >> b & 1 for x in rows[:, k])) for b in range(64)] for k in range(words)]
+        assert simhash.bit_counts(rows).tolist() == [c for w in want for c in w]
+
+
+def test_long_fingerprints_are_majorities():
+    r = np.random.default_rng(18)
+    for n in (0, 1, 2, 5, 40, 700):
+        hashes = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64))
+        want = b""
+        for k in range(16):
+            g = [int(x) for x in simhash._mixed(hashes * simhash._ODD[k + 1] + np.uint64(k))]
+            want += sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in g) > len(g)).to_bytes(8, "little")
+        assert simhash.like_fingerprint(hashes, 16) == want
+
+
 def test_documents_well_below_the_likeness_stay(spark):
     r = random.Random(13)
     docs, pairs = [], []
