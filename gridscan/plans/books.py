@@ -12,6 +12,7 @@ from itertools import chain
 
 from pyspark.sql import SparkSession
 
+from .. import fixtures
 from ..fixtures import CELL_LIMIT, Bare, Raw, Serial, table_rows, write_book
 
 Rows = Iterable[list]
@@ -49,8 +50,8 @@ def rows_of(spark: SparkSession, sf_dir: str, name: str) -> Rows:
 
 
 def book(spark: SparkSession, sf_dir: str, variant: str, tables: list[str], make: Callable[..., dict[str, Rows]], dimension: str | None = None) -> str:
-    """The path of the workbook of a variant; ``make`` gets each table's rows and gives the sheets. Its source is part of the name."""
-    version = [variant, inspect.getsource(make), sf_dir, *(_local_table(spark, sf_dir, t)[1] for t in tables)]
+    """The path of the workbook of a variant; ``make`` gets each table's rows and gives the sheets. Its source and the writer's are part of the name."""
+    version = [variant, inspect.getsource(fixtures), inspect.getsource(make), sf_dir, *(_local_table(spark, sf_dir, t)[1] for t in tables)]
     path = os.path.join(_folder(spark), f"{variant}-{hashlib.sha256('|'.join(version).encode()).hexdigest()[:16]}.xlsx")
     if not os.path.exists(path):
         write_book(path, make(*(rows_of(spark, sf_dir, t) for t in tables)), dimension=dimension)
