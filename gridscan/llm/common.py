@@ -147,14 +147,17 @@ class Ranges:
         at = constant(list(self.bounds))
         steps = F.array(*[F.lit(1 << b) for b in range(len(self.bounds).bit_length() - 1, -1, -1)]) if self.bounds else F.array().cast("array<int>")
         range_no = F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get(at, low + step - 1) <= key, low + step).otherwise(low))
+        high = F.shiftright(tie, 33) + F.lit(1 << 30)  # the tie's upper bits, order kept, from 0 to 2^31
+        within = lambda n: F.shiftright(high * n, 31)
+        null = within(F.lit(self.nulls).cast("long"))
+        if max(self.parts) == 1:
+            return F.when(key.isNull(), null).otherwise(range_no + self.nulls).cast("int")
         first, held = [], self.nulls
         for n in self.parts:
             first.append(held)
             held += n
-        high = F.shiftright(tie, 33) + F.lit(1 << 30)  # the tie's upper bits, order kept, from 0 to 2^31
-        within = lambda n: F.shiftright(high * n, 31)
         placed = F.get(constant(first), range_no) + within(F.get(constant(list(self.parts)), range_no))
-        return F.when(key.isNull(), within(F.lit(self.nulls).cast("long"))).otherwise(placed).cast("int")
+        return F.when(key.isNull(), null).otherwise(placed).cast("int")
 
 
 def range_buckets(df: DataFrame, key: str, buckets: int) -> Ranges:
