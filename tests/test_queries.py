@@ -41,3 +41,16 @@ def test_rows_of_a_table_do_not_depend_on_how_it_is_stored(spark, tmp_path):
     pq.write_table(table, tmp_path / "folder" / "t.parquet" / "part-0.parquet")
     file, folder = (list(rows_of(spark, str(d), "t")) for d in (tmp_path, tmp_path / "folder"))
     assert file == folder and len(file[1][1]) == 32_767
+
+
+def test_sums_of_amounts_are_exact(spark, tmp_path):
+    """Beside 70,000,000,000,000 a cent is less than a double's last place."""
+    import datetime
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    n = 1001
+    rows = {"o_orderkey": range(n), "o_custkey": [1] * n, "o_orderstatus": ["F"] * n, "o_totalprice": [7e13, *[0.01] * (n - 1)], "o_orderdate": [datetime.datetime(1998, 1, 1)] * n, "o_orderpriority": ["5-LOW"] * n}
+    pq.write_table(pa.table({k: list(v) for k, v in rows.items()}), tmp_path / "orders.parquet")
+    assert {tuple(r)[2:] for r in QUERIES["cube"](spark, str(tmp_path)).collect()} == {(n, 7 * 10**15 + n - 1)}
