@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 import glob
+import json
 import os
 import re
+import struct
 import zipfile
+import zlib
+from bisect import bisect_right
 from collections import OrderedDict
+from collections.abc import Iterator
 from dataclasses import dataclass
 from posixpath import dirname, join, normpath
 from xml.etree import ElementTree
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from .. import errors
 from ..operators.options import ScanOptions
@@ -20,6 +27,10 @@ from ..operators.options import ScanOptions
 DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
 _SURROGATE = re.compile("[\ud800-\udfff]")
 _ESCAPE = re.compile(r"_x([0-9A-Fa-f]{4})_")
+#: An optional part of the workbook that tells where large parts can be entered: {part: {"size", "crc", "points"}}.
+POINTS = "gridscan/points.json"
+#: (deflated offset, offset, rows or strings before it).
+Point = tuple[int, int, int]
 _QUOTED = re.compile(r'"[^"]*"|\[(?![hms]+\])[^\]]*\]|\\.|_.|\*.', re.I)
 
 
@@ -75,6 +86,20 @@ class Sheet:
     strings_part: str
     date_styles: frozenset[int]
     date1904: bool
+    #: Where the sheet and the string table can be entered, from the beginning on; empty if nowhere else.
+    points: tuple[Point, ...] = ()
+    string_points: tuple[Point, ...] = ()
+    strings_size: int = 0
+
+    def entry(self, offset: int) -> Point | None:
+        """The last point at or before a byte of the sheet's XML."""
+        k = bisect_right(self.points, offset, key=lambda p: p[1])
+        return self.points[k - 1] if k > 1 else None
+
+    def entry_of_row(self, number: int) -> Point | None:
+        """The last point that no row above a number comes before."""
+        k = bisect_right(self.points, number, key=lambda p: p[2])
+        return self.points[k - 1] if k > 1 else None
 
 
 def locate(options: ScanOptions) -> Sheet:
@@ -126,7 +151,38 @@ def _locate(z: zipfile.ZipFile, path: str, options: ScanOptions) -> Sheet:
     strings, styles = kinds.get("sharedStrings", "xl/sharedStrings.xml"), kinds.get("styles", "xl/styles.xml")
     dates = _date_styles(z.read(styles)) if styles in names else frozenset()
     info = z.getinfo(part)
-    return Sheet(path, part, info.file_size, info.CRC, strings if strings in names else "", dates, date1904)
+    strings = strings if strings in names else ""
+    points = json.loads(z.read(POINTS)) if POINTS in names else {}
+    return Sheet(path, part, info.file_size, info.CRC, strings, dates, date1904, _points(z, points, part), _points(z, points, strings), z.getinfo(strings).file_size if strings else 0)
+
+
+def _points(z: zipfile.ZipFile, found: dict, part: str) -> tuple[Point, ...]:
+    """The points of a part, unless another program has changed it."""
+    if part not in found or (found[part]["crc"], found[part]["size"]) != (z.getinfo(part).CRC, z.getinfo(part).file_size):
+        return ()
+    return tuple(map(tuple, found[part]["points"]))
+
+
+def inflated_from(path: str, part: str, offset: int, block: int) -> Iterator[bytes]:
+    """A part from a point on, in blocks."""
+    with open_file(path) as f:
+        with zipfile.ZipFile(f) as z:
+            info = z.getinfo(part)
+        f.seek(info.header_offset)
+        name, extra = struct.unpack("<26xHH", f.read(30))
+        f.seek(info.header_offset + 30 + name + extra + offset)
+        left, d = info.compress_size - offset, zlib.decompressobj(-15)
+        while left > 0 and not d.eof:
+            raw = f.read(min(left, 1 << 18))
+            if not raw:
+                raise ValueError(f"{part} is cut off")
+            left -= len(raw)
+            while raw:
+                if out := d.decompress(raw, block):
+                    yield out
+                raw = d.unconsumed_tail
+        if out := d.flush():
+            yield out
 
 
 def shows_dates(code: str) -> bool:
@@ -173,29 +229,83 @@ def _entity(m: re.Match) -> str:
 
 
 _SIMPLE = re.compile(rb"<si><t(?: [^>]*)?>([^<]*)</t></si>")
-_strings: OrderedDict[tuple, pa.Array] = OrderedDict()
-
-
-def shared_strings(sheet: Sheet) -> pa.Array:
-    """The workbook's string table; a worker keeps the last two it has read."""
+_strings: OrderedDict[tuple, pa.Array | Strings] = OrderedDict()
+
+
+class Strings:
+    """A string table that is read in parts, as strings are taken; the last ones are kept."""
+
+    #: Bytes of kept parts, besides the last one.
+    KEPT = 32 << 20
+
+    def __init__(self, sheet: Sheet) -> None:
+        self.sheet, self.held = sheet, OrderedDict()
+        self.firsts = np.array([p[2] for p in sheet.string_points])
+
+    def _part(self, k: int) -> pa.Array:
+        if k not in self.held:
+            points, size = self.sheet.string_points, self.sheet.strings_size
+            left = (points[k + 1][1] if k + 1 < len(points) else size) - points[k][1]
+            blocks = []
+            for block in inflated_from(self.sheet.path, self.sheet.strings_part, points[k][0], 1 << 20):
+                blocks.append(block[:left])
+                left -= len(blocks[-1])
+                if not left:
+                    break
+            self.held[k] = _read_strings(b"".join(blocks))
+            while len(self.held) > 1 and sum(x.nbytes for x in self.held.values()) > self.KEPT:
+                self.held.popitem(last=False)
+        self.held.move_to_end(k)
+        return self.held[k]
+
+    def __getitem__(self, i: int) -> pa.Scalar:
+        return self.take(pa.array([i]))[0]
+
+    def take(self, at: pa.Array) -> pa.Array:
+        at = at.to_numpy(zero_copy_only=False)
+        own = np.searchsorted(self.firsts, at, side="right") - 1
+        order = np.argsort(own, kind="stable")
+        parts, edges = np.unique(own[order], return_index=True)
+        some = [self._part(k).take(pa.array(at[w] - self.firsts[k])) for k, w in zip(parts.tolist(), np.split(order, edges[1:]))]
+        out = pa.concat_arrays(some) if some else pa.array([], pa.string())
+        if (order[1:] > order[:-1]).all():
+            return out
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return out.take(pa.array(back))
+
+
+def shared_strings(sheet: Sheet) -> pa.Array | Strings:
+    """The workbook's string table; a worker keeps the last two it has read. One that can be entered isn't read as a whole."""
     if not sheet.strings_part:
         return pa.array([], pa.string())
     with open_file(sheet.path) as f, zipfile.ZipFile(f) as z:
         info = z.getinfo(sheet.strings_part)
         key = (sheet.path, sheet.strings_part, info.CRC, info.file_size)
         if key not in _strings:
-            _strings[key] = _read_strings(z.read(info))
+            _strings[key] = Strings(sheet) if len(sheet.string_points) > 1 else _read_strings(z.read(info))
             while len(_strings) > 2:
                 _strings.popitem(last=False)
     return _strings[key]
 
 
+def _unescaped(texts: pa.Array) -> pa.Array:
+    """``unescape`` of each text; those with named entities alone are done together."""
+    odd = pc.or_(pc.or_(pc.match_substring(texts, "_x"), pc.match_substring(texts, "&#")), pc.match_substring(texts, "\r"))
+    plain = texts
+    for name, sign in sorted(_NAMED.items(), key=lambda x: x[0] == "amp"):
+        plain = pc.replace_substring(plain, f"&{name};", sign)
+    if not pc.any(odd).as_py():
+        return plain
+    return pc.replace_with_mask(plain, odd, pa.array([unescape(x) for x in texts.filter(odd).to_pylist()], pa.string()))
+
+
 def _read_strings(raw: bytes) -> pa.Array:
     simple = _SIMPLE.findall(raw)
     if len(simple) == len(re.findall(rb"<(?:\w+:)?si[ />]", raw)) and b"<!" not in raw:
         if b"&" not in raw and b"_x" not in raw and b"\r" not in raw:
             return pa.array(simple, pa.binary()).cast(pa.string())
-        return pa.array([unescape(x.decode()) for x in simple], pa.string())
+        return _unescaped(pa.array(simple, pa.binary()).cast(pa.string()))
     out: list[str] = []
     for item in ElementTree.fromstring(raw):
         if _local(item.tag) != "si":

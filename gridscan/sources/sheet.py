@@ -2,8 +2,9 @@
 
 The driver reads the workbook's small parts and the head of the sheet; it never parses the sheet. Tasks
 take byte ranges of the uncompressed XML: each inflates up to its range, owns the rows that begin in
-it, and yields Arrow batches as it goes, so memory stays at a block of XML and the string table. A
-task keeps no state and can be run again anywhere.
+it, and yields Arrow batches as it goes, so memory stays at a block of XML and the string table. Where a
+workbook has points to enter its parts at, a task begins at the last one before its range and reads the
+strings that it needs. A task keeps no state and can be run again anywhere.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ _CLOSE = b"</sheetData>"
 LEAST_SLICE, MOST_SLICE = 256 << 10, 32 << 20
 #: Rows per batch of missing rows and of sheets that need the XML parser.
 BATCH_ROWS = 8192
+#: Bytes of a batch that are handed to Spark at once.
+BATCH_BYTES = 16 << 20
 _SPARK = {opts.VARCHAR: StringType(), opts.DOUBLE: DoubleType(), opts.BOOLEAN: BooleanType(), opts.DATE: DateType()}
 
 
@@ -97,7 +100,8 @@ def batches(scan: Scan, lo: int, hi: int):
             return
         except xml.Odd:
             pass  # the parser goes on behind the last row that was handed out
-    yield from _by_parser(scan, xml.parsed(xml.inflated(scan.sheet)), done, strings, lo, hi)
+    start = scan.sheet.entry(lo)
+    yield from _by_parser(scan, xml.parsed_from(scan.sheet, start), max(done, start[2] if start else 0), strings, lo, hi)
 
 
 def _spelled(found: list[tuple]) -> xml.Cells:
@@ -144,7 +148,13 @@ def _columns(scan: Scan, cells: xml.Cells, before: int, last: int, strings: pa.A
     while skip > BATCH_ROWS:
         yield pa.RecordBatch.from_arrays([pa.nulls(BATCH_ROWS, f.type) for f in scan.arrow_schema()], schema=scan.arrow_schema())
         skip, n, before, row = skip - BATCH_ROWS, n - BATCH_ROWS, before + BATCH_ROWS, row - BATCH_ROWS
-    yield _batch(scan, n, before, row, col, kind, text, strings)
+    yield from _cut(_batch(scan, n, before, row, col, kind, text, strings))
+
+
+def _cut(batch: pa.RecordBatch):
+    """A batch, in several of about ``BATCH_BYTES`` if it is larger."""
+    step = max(1, batch.num_rows * BATCH_BYTES // max(1, batch.nbytes))
+    yield from (batch.slice(k, step) for k in range(0, batch.num_rows, step))
 
 
 def _batch(scan: Scan, n: int, before: int, row, col, kind, text: pa.Array, strings: pa.Array) -> pa.RecordBatch:
@@ -203,11 +213,16 @@ def ranges(scan: Scan) -> list[tuple[int, int]]:
     """Byte ranges of the sheet's XML, one per task."""
     if not scan.ordinary:
         return [(0, scan.sheet.size)]
-    size = max(1, scan.sheet.size)
-    n = scan.options.threads or max(default_threads(), -(-size // MOST_SLICE))
+    start = scan.sheet.entry_of_row(scan.plan.start)
+    first = start[1] if start else 0
+    size = max(1, scan.sheet.size - first)
+    most = size + (scan.sheet.strings_size if scan.sheet.string_points else 0)
+    n = scan.options.threads or max(default_threads(), -(-most // MOST_SLICE))
     n = max(1, min(n, -(-size // LEAST_SLICE)))
-    edges = [size * k // n for k in range(n + 1)]
-    return list(zip(edges, edges[1:]))
+    edges = [first + size * k // n for k in range(n + 1)]
+    if len(scan.sheet.points) > n:  # few enough ranges to begin where the sheet can be entered
+        edges[1:-1] = [(scan.sheet.entry(e) or (0, first, 0))[1] for e in edges[1:-1]]
+    return [(lo, hi) for lo, hi in zip(edges, edges[1:]) if lo < hi]
 
 
 @dataclass
