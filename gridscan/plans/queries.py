@@ -58,11 +58,11 @@ def _exact(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return df.withColumns({c: df[c].cast("decimal(28,6)") for c in columns if c in df.columns}) if columns else df
 
 
-def _sql(text: str, *names: str, exact: tuple[str, ...] = ()) -> Query:
+def _sql(text: str, *names: str, exact: tuple[str, ...] = (), **options) -> Query:
     """Spark SQL over scans, each table as a view of its own name with a prefix; columns in ``exact`` are summed exactly."""
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return spark.sql(text, **{n: _exact(table(spark, sf, n), exact) for n in names})
+        return spark.sql(text, **{n: _exact(table(spark, sf, n, **options), exact) for n in names})
 
     return run
 
@@ -197,6 +197,7 @@ QUERIES: dict[str, Query] = {
         "CAST(round(sum(l_discount) * 100) AS BIGINT) AS sum_disc_percent, count(*) AS n FROM {lineitem} WHERE l_shipdate <= DATE '2001-06-30' GROUP BY l_returnflag, l_linestatus",
         "lineitem",
         exact=("l_quantity", "l_extendedprice", "l_discount"),
+        columns="l_quantity,l_extendedprice,l_discount,l_returnflag,l_linestatus,l_shipdate",
     ),
     "join_orders_customer": _sql(
         "SELECT c_mktsegment, count(*) AS n, CAST(round(sum(o_totalprice) * 100) AS BIGINT) AS total_cents FROM {orders} JOIN {customer} ON o_custkey = c_custkey GROUP BY c_mktsegment", "orders", "customer", exact=("o_totalprice",)
@@ -205,7 +206,7 @@ QUERIES: dict[str, Query] = {
     "semi_join": _sql("SELECT c_custkey, c_name FROM {customer} LEFT SEMI JOIN {orders} ON o_custkey = c_custkey AND o_totalprice > 200000", "orders", "customer"),
     "anti_join": _sql("SELECT c_custkey, c_name FROM {customer} LEFT ANTI JOIN {orders} ON o_custkey = c_custkey AND o_totalprice > 400000 AND o_orderpriority = '1-URGENT'", "orders", "customer"),
     "rollup_segment": _sql("SELECT c_mktsegment, c_nationkey, count(*) AS n FROM {customer} GROUP BY ROLLUP (c_mktsegment, c_nationkey)", "customer"),
-    "distinct_agg": _sql("SELECT l_returnflag, count(DISTINCT l_suppkey) AS n_suppliers, min(l_shipdate) AS first_day, max(l_shipdate) AS last_day FROM {lineitem} GROUP BY l_returnflag", "lineitem"),
+    "distinct_agg": _sql("SELECT l_returnflag, count(DISTINCT l_suppkey) AS n_suppliers, min(l_shipdate) AS first_day, max(l_shipdate) AS last_day FROM {lineitem} GROUP BY l_returnflag", "lineitem", columns="l_returnflag,l_suppkey,l_shipdate"),
     "window_rank": _sql(
         "SELECT s_suppkey, s_nationkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) AS place, "
         "lag(s_suppkey) OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) AS ahead FROM {supplier}",

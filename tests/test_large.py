@@ -152,3 +152,13 @@ def test_queries_over_large_books(spark, monkeypatch, name):
     assert sorted(map(repr, got)) == sorted(map(repr, db.execute(f"SELECT {', '.join(df.columns)} FROM ({ORACLE_SQL[name]}) q").fetchall()))
     for path in made:
         assert json.loads(zipfile.ZipFile(path).read(ooxml.POINTS))
+
+
+@pytest.mark.parametrize(("name", "read"), [("distinct_agg", {"l_returnflag", "l_suppkey", "l_shipdate"}), ("q1_pricing_summary", {"l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"})])
+def test_aggregates_read_their_columns_only(spark, monkeypatch, name, read):
+    from gridscan.plans import queries
+
+    seen, table = [], queries.table
+    monkeypatch.setattr(queries, "table", lambda *a, **o: (seen.append(df := table(*a, **o)), df)[1])
+    QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert [set(df.columns) for df in seen] == [read]
