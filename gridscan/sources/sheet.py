@@ -27,7 +27,7 @@ from .ooxml import Sheet, locate, shared_strings
 
 NAME = "gridscan"
 PROBE_ROWS = 100
-_CLOSE = b"</sheetData>"
+_OPEN, _CLOSE = b"<sheetData>", b"</sheetData>"
 #: Uncompressed bytes of XML that a task takes at least and, unless threads says otherwise, at most.
 LEAST_SLICE, MOST_SLICE = 256 << 10, 32 << 20
 #: Rows per batch of missing rows and of sheets that need the XML parser.
@@ -94,12 +94,38 @@ def batches(scan: Scan, lo: int, hi: int):
                 elif (found := xml.tokens(piece)) is not None:
                     yield from _columns(scan, _spelled(found), max(before, done), last, strings)
                 else:
-                    wrapped = xml.parsed(iter([b"<sheetData>", piece, _CLOSE]), True, before)
+                    wrapped = xml.parsed(iter([_OPEN, piece, _CLOSE]), True, before)
                     yield from _by_parser(scan, wrapped, max(before, done), strings)
                 done = max(done, last)
             return
         except xml.Odd:
-            pass  # the parser goes on behind the last row that was handed out
+            pass  # what follows goes on behind the last row that was handed out
+    try:
+        start = max(scan.sheet.entry(lo), scan.sheet.entry_of_row(done) if scan.ordinary else None, key=lambda p: p[1] if p else 0)
+        before = start[2] if start else 0
+        done = max(done, before)
+        for at, piece in xml.pieces(scan.sheet, start):
+            if at >= hi:
+                break
+            told = xml.counted(piece, before)
+            if told is None:
+                rows = [(number, place + at - len(_OPEN), found) for number, place, found in xml.parsed(iter([_OPEN, piece, _CLOSE]), True, before)]
+                yield from _by_parser(scan, rows, done, strings, lo, hi)
+                done, before = max([done, *(number for number, place, _ in rows if place < hi)]), rows[-1][0]
+                continue
+            quick, begin, number = told
+            first, end = np.searchsorted(begin, (lo - at, hi - at)).tolist()
+            done = max(done, int(number[first - 1])) if first else done
+            if end > first:
+                last = int(number[end - 1])
+                if end < len(number):
+                    quick = replace(quick, there=quick.there & (quick.row <= last))
+                yield from _columns(scan, quick, done, last, strings)
+                done = max(done, last)
+            before = int(number[-1])
+        return
+    except xml.Odd:
+        pass  # and so does the parser
     start = scan.sheet.entry(lo)
     yield from _by_parser(scan, xml.parsed_from(scan.sheet, start), max(done, start[2] if start else 0), strings, lo, hi)
 

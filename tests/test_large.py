@@ -89,6 +89,48 @@ def test_bare_rows_are_cut_anywhere(spark, table):
     assert found == {b' r="2"'}
 
 
+def test_bare_rows_need_no_parser(spark, table, monkeypatch):
+    """In one task or many, the sheet's first block aside, which is bound by the parser."""
+    df = spark.range(40_000).selectExpr("id AS k", "concat('t', id % 5) AS s", "id * 2 AS d").coalesce(3)
+    scan = bind(opts.parse({"path": large.write(str(table / "bare2.xlsx"), "s", df, bare=True)}))
+    monkeypatch.setattr(xml, "parsed", None)
+    for edges in ([0, scan.sheet.size], [0, scan.sheet.size // 2 + 99, scan.sheet.size]):
+        assert [x for lo, hi in zip(edges, edges[1:]) for x in flat(scan, lo, hi)] == [(float(i), f"t{i % 5}", i * 2.0) for i in range(40_000)]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_counted_rows_are_those_of_the_parser(seed):
+    r, n, out, told = random.Random(seed), 7, [], 0
+    for _ in range(r.randrange(1, 30)):
+        named, n = r.random() < 0.4, n + 1
+        if r.random() < 0.3 and (named or r.random() < 0.5):
+            n, at_once = n + r.randrange(5), True
+        else:
+            at_once = False
+        c, cells = -1, []
+        for k in range(r.randrange(6)):
+            placed = r.random() < 0.5 or at_once and not named and not k
+            c = c + r.randrange(1, 60) if placed else c + 1
+            kind, v = r.choice([("", "<v>1.5</v>"), (' t="s"', "<v>3</v>"), (' s="1"', "<v>9</v>"), (' s="1" t="b"', "<v>1</v>"), ("", None)])
+            place = f' r="{large.letters(c)}{n}"' if placed else ""
+            cells.append(f"<c{place}{kind}>{v}</c>" if v else f"<c{place}{kind}/>")
+        if at_once and not named and not cells:
+            named = True
+        out.append((f'<row r="{n}">' if named else "<row>") + "".join(cells) + "</row>")
+    piece = "".join(out).encode()
+    found, begin, number = xml.counted(piece, 7)
+    want = list(xml.parsed(iter([b"<sheetData>", piece, b"</sheetData>"]), True, 7))
+    assert list(zip(number.tolist(), (begin + len("<sheetData>")).tolist())) == [x[:2] for x in want]
+    flat_want = [(row, c, int(style or 0), kind[:1] or b"\0", v) for row, _, cells in want for c, style, kind, v in cells]
+    there = found.there
+    assert list(zip(found.row[there].tolist(), found.col[there].tolist(), found.style[there].tolist(), (bytes([c]) for c in found.code[there].tolist()), found.values.filter(pa.array(there)).to_pylist())) == flat_want
+
+
+@pytest.mark.parametrize("piece", ['<row r="9"></row><row r="9"></row>', '<row><c r="B5"><v>1</v></c></row>', '<row><c r="B9"><v>1</v></c><c r="C8"/></row>', '<row spans="1:2"><c><v>1</v></c></row>', "<row/>", '<row><c s="1" r="A9"><v>1</v></c></row>', '<row><c r="A"><v>1</v></c></row>'])
+def test_what_is_not_counted_is_left_to_the_parser(piece):
+    assert xml.counted(piece.encode(), 7) is None
+
+
 def test_tasks_read_their_own_strings(book, monkeypatch):
     """A task at the end of the sheet inflates neither the sheet before it nor all strings."""
     ooxml._strings.clear()
