@@ -20,7 +20,7 @@ from pyspark.sql.types import BooleanType, DateType, DoubleType, StringType, Str
 
 from .. import errors
 from ..operators import options as opts
-from ..operators.convert import ARROW, column
+from ..operators.convert import ARROW, column, days
 from ..operators.infer import DAY, ERROR, NUMBER, TEXT, SheetPlan, infer
 from . import rows as xml
 from .ooxml import Sheet, locate, shared_strings
@@ -30,6 +30,10 @@ PROBE_ROWS = 100
 _OPEN, _CLOSE = b"<sheetData>", b"</sheetData>"
 #: Uncompressed bytes of XML that a task takes at least and, unless threads says otherwise, at most.
 LEAST_SLICE, MOST_SLICE = 256 << 10, 32 << 20
+#: Pieces in a row that aren't even rows before a task no longer tries that.
+MISSES = 4
+#: Rows like a piece's first that make it worth that.
+EVEN_ROWS = 64
 #: Rows per batch of missing rows and of sheets that need the XML parser.
 BATCH_ROWS = 8192
 #: Bytes of a batch that are handed to Spark at once.
@@ -82,12 +86,17 @@ def bind(options: opts.ScanOptions) -> Scan:
 def batches(scan: Scan, lo: int, hi: int):
     """Record batches of the rows that begin in [lo, hi)."""
     strings = shared_strings(scan.sheet)
-    done = scan.plan.start
+    done, missed, keep = scan.plan.start, 0, frozenset(scan.keep)
     if scan.ordinary:
         try:
             for before, piece, last in xml.slices(scan.sheet, lo, hi):
-                quick = xml.cells(piece)
-                if quick is not None:
+                tried = missed < MISSES and len(piece) > EVEN_ROWS * piece.find(b"</row>")
+                even = _even(scan, xml.even(piece, keep), max(before, done), strings) if tried else None
+                quick = xml.cells(piece) if even is None else None
+                missed = missed + 1 if even is None else 0
+                if even is not None:
+                    yield from _cut(even)
+                elif quick is not None:
                     yield from _columns(scan, quick, max(before, done), last, strings)
                 elif not xml.all_placed(piece):
                     raise xml.Odd
@@ -130,6 +139,27 @@ def batches(scan: Scan, lo: int, hi: int):
     yield from _by_parser(scan, xml.parsed_from(scan.sheet, start), max(done, start[2] if start else 0), strings, lo, hi)
 
 
+def _even(scan: Scan, found: tuple | None, before: int, strings: pa.Array) -> pa.RecordBatch | None:
+    """Rows that are all alike as a batch, if they follow row ``before`` and each column holds what its type reads without more."""
+    if found is None or found[0] != before + 1 or max(found[2]) >= len(scan.plan.types):
+        return None
+    out = []
+    for c in scan.keep:
+        kind, (style, code, values) = scan.plan.types[c], found[2].get(c, (b"", b"", None))
+        held = xml.kind_of(style, code, scan.sheet.date_styles)
+        if values is None:
+            out.append(pa.nulls(found[1], ARROW[kind]))
+        elif (kind, held) == (opts.VARCHAR, TEXT):
+            out.append(strings.take(values))
+        elif (kind, held) == (opts.DOUBLE, NUMBER):
+            out.append(values)
+        elif (kind, held) == (opts.DATE, DAY):
+            out.append(pa.array(days(values.to_numpy(), scan.sheet.date1904).astype(np.int32), pa.int32()).cast(pa.date32()))
+        else:
+            return None
+    return pa.RecordBatch.from_arrays(out, schema=scan.arrow_schema())
+
+
 def _spelled(found: list[tuple]) -> xml.Cells:
     """Tokens as cells; inline texts become values, and types of several letters keep their first, but for ``inlineStr`` and ``str``."""
     letters, numbers, styles, codes, values, inline = zip(*found) if found else [()] * 6

@@ -131,6 +131,42 @@ def test_what_is_not_counted_is_left_to_the_parser(piece):
     assert xml.counted(piece.encode(), 7) is None
 
 
+def _even_rows(n, change=lambda i, row: row):
+    return "".join(change(i, f'<row r="{i}"><c r="A{i}"><v>{i}.25</v></c><c r="C{i}" s="1"><v>{i}</v></c><c r="AB{i}" t="s"><v>{i - 5}</v></c></row>') for i in range(5, 5 + n)).encode()
+
+
+def test_even_rows_are_told_without_cells():
+    first, n, found = xml.even(_even_rows(7), frozenset({0, 27}))
+    assert (first, n, {c: (s, t, v and v.to_pylist()) for c, (s, t, v) in found.items()}) == (
+        5, 7, {0: (b"", b"", [i + 0.25 for i in range(5, 12)]), 2: (b"1", b"", None), 27: (b"", b"s", list(range(7)))},
+    )
+
+
+@pytest.mark.parametrize("change", [
+    lambda row: row.replace("<v>8.25</v>", "<v>8/25</v>"), lambda row: row.replace("<v>8.25</v>", "<v>v8</v>"), lambda row: row.replace("<v>8.25</v>", "<v>8>2</v>"),
+    lambda row: row.replace("<v>8.25</v>", "<v></v>"), lambda row: row.replace("<v>8.25</v>", "<v/>"), lambda row: row.replace("<v>8.25</v>", "<f>1</f><v>8.25</v>"), lambda row: row.replace("C8", "D8"),
+    lambda row: row.replace("8", "9"), lambda row: row + "<row/>", lambda row: row + " ", lambda row: row.replace(' s="1"', ""), lambda row: row.replace('t="s"', 't="b"'), lambda row: row.replace('<row r="8">', '<row r="8" spans="1:3">'),
+    lambda row: "", lambda row: row.replace('<c r="C8" s="1"><v>8</v></c>', ""), lambda row: row.replace("<v>8.25</v>", "<v>8.25\n</v>"),
+])
+def test_uneven_rows_are_left_to_cells(change):
+    assert xml.even(_even_rows(7, lambda i, row: change(row) if i == 8 else row), frozenset({0, 2, 27})) is None
+
+
+def test_even_rows_of_a_scan(spark, table, monkeypatch):
+    """Whole and even sheets need no list of cells, and read the same as by one."""
+    df = spark.range(20_000).selectExpr("id AS k", "concat('t', id % 5) AS s", "id / 7 AS d", "date_add(DATE '1999-01-01', CAST(id % 900 AS INT)) AS day").coalesce(1)
+    path = large.write(str(table / "even.xlsx"), "s", df)
+    scan, part = bind(opts.parse({"path": path})), bind(opts.parse({"path": path, "columns": "day,k"}))
+    edges = [0, scan.sheet.size // 3, scan.sheet.size]
+    monkeypatch.setattr(sheets, "MISSES", 0)
+    want = [[x for lo, hi in zip(edges, edges[1:]) for x in flat(s, lo, hi)] for s in (scan, part)]
+    monkeypatch.setattr(sheets, "MISSES", 4)
+    seen, cells = [], xml.cells
+    monkeypatch.setattr(xml, "cells", lambda piece: (seen.append(len(piece)), cells(piece))[1])
+    assert [[x for lo, hi in zip(edges, edges[1:]) for x in flat(s, lo, hi)] for s in (scan, part)] == want
+    assert sum(seen) < scan.sheet.size * 0.9  # the header's pieces alone, of two scans
+
+
 def test_tasks_read_their_own_strings(book, monkeypatch):
     """A task at the end of the sheet inflates neither the sheet before it nor all strings."""
     ooxml._strings.clear()
