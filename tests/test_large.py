@@ -152,6 +152,23 @@ def test_uneven_rows_are_left_to_cells(change):
     assert xml.even(_even_rows(7, lambda i, row: change(row) if i == 8 else row), frozenset({0, 2, 27})) is None
 
 
+def test_even_rows_pass_tens():
+    """Places of more digits in the same piece, and columns that are named like exponents."""
+    piece = "".join(f'<row r="{i}"><c r="E{i}" s="1"><v>{i / 8}</v></c><c r="XFD{i}"><v>-{i}</v></c></row>' for i in range(7, 12_345)).encode()
+    first, n, found = xml.even(piece, frozenset({4, 16_383}))
+    assert (first, n, sorted(found)) == (7, 12_338, [4, 16_383])
+    assert found[4][2].to_pylist() == [i / 8 for i in range(7, 12_345)] and found[16_383][2].to_pylist() == [float(-i) for i in range(7, 12_345)]
+    assert xml.even(piece.replace(b'"E9999"', b'"E9998"'), frozenset({4})) is None
+
+
+@pytest.mark.parametrize("change", [
+    lambda row: row.replace("<v>8.25</v>", "<v>nan</v>"), lambda row: row.replace('<c r="A8"><v>8', '<c r="A"><v>88'), lambda row: row.replace('s="1"', 's="2"'), lambda row: row.replace("<v>8.25", "<8v>.25"),
+    lambda row: row.replace('"A8"', '"8A"'), lambda row: row.replace('s="1"><v>8', 's=""><v>18'), lambda row: row.replace("</row>", "</r1ow>"), lambda row: row.replace("<v>8.25", "<v>8.2-5"),
+])
+def test_bytes_of_numbers_elsewhere_are_left_to_cells(change):
+    assert xml.even(_even_rows(7, lambda i, row: change(row) if i == 8 else row), frozenset({0, 2, 27})) is None
+
+
 def test_even_rows_of_a_scan(spark, table, monkeypatch):
     """Whole and even sheets need no list of cells, and read the same as by one."""
     df = spark.range(20_000).selectExpr("id AS k", "concat('t', id % 5) AS s", "id / 7 AS d", "date_add(DATE '1999-01-01', CAST(id % 900 AS INT)) AS day").coalesce(1)

@@ -54,3 +54,17 @@ def test_sums_of_amounts_are_exact(spark, tmp_path):
     rows = {"o_orderkey": range(n), "o_custkey": [1] * n, "o_orderstatus": ["F"] * n, "o_totalprice": [7e13, *[0.01] * (n - 1)], "o_orderdate": [datetime.datetime(1998, 1, 1)] * n, "o_orderpriority": ["5-LOW"] * n}
     pq.write_table(pa.table({k: list(v) for k, v in rows.items()}), tmp_path / "orders.parquet")
     assert {tuple(r)[2:] for r in QUERIES["cube"](spark, str(tmp_path)).collect()} == {(n, 7 * 10**15 + n - 1)}
+
+
+def test_amounts_of_few_decimals_are_summed_without_decimals(spark):
+    """As whole numbers and millionths; all others, as decimals, give the same sums."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from gridscan.plans.queries import _exact, _total
+
+    some = [0.1, -0.1, 999_999.999999, -999_999.999999, 0.0, -0.0, 1e-6, -2.5, None, 104_949.5]
+    rows = [(g, v) for g, values in enumerate([some * 7, [*some, 1e6, 0.1234565, -7e13, 1 / 3, 1e-7], [None, None], [1 / 3, 2e6]]) for v in values]
+    df = _exact(spark.createDataFrame(rows, "g int, x double"), ("x",))
+    assert {r.x for r in df.where("x_other IS NOT NULL").collect()} == {1e6, 0.1234565, -7e13, 1 / 3, 1e-7, 2e6}
+    want = {g: sum((Decimal(repr(v)).quantize(Decimal("0.000001"), ROUND_HALF_UP) for h, v in rows if h == g and v is not None), Decimal(0)) if g != 2 else None for g in range(4)}
+    assert dict(df.groupBy("g").agg({"*": "count"}).join(spark.sql(f"SELECT g, {_total('x')} AS total FROM {{df}} GROUP BY g", df=df), "g").select("g", "total").collect()) == want
