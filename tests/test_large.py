@@ -67,6 +67,28 @@ def test_large_book_reads_back(spark, book, want):
     assert sorted(map(repr, got)) == sorted(map(repr, want))
 
 
+def test_pieces_are_copied_at_once(spark, table, monkeypatch):
+    """Each to its own place, whichever is done first; one that is cut off is told."""
+    import threading
+
+    copy, both = large._copy, threading.Barrier(2, timeout=20)
+
+    def late(p, out, at):
+        if not isinstance(p.data, bytes):
+            both.wait()  # two pieces are on their way
+        copy(p, out, at)
+
+    monkeypatch.setattr(large, "_copy", late)
+    monkeypatch.setattr(large, "COPIED", 1000)
+    path = large.write(str(table / "copied.xlsx"), "s", spark.range(20_000).selectExpr("id AS k", "concat('t', id) AS s").repartition(2, "k").persist())
+    assert zipfile.ZipFile(path).testzip() is None
+    scan = bind(opts.parse({"path": path}))
+    assert sorted(flat(scan, 0, scan.sheet.size)) == [(float(i), f"t{i}") for i in range(20_000)]
+    (table / "cut").write_bytes(b"123")
+    with open(table / "to", "w+b") as out, pytest.raises(RuntimeError, match="has 3 bytes, not 4"):
+        copy(large.Piece(str(table / "cut"), 9, 4, 0, [], 1), out.fileno(), 5)
+
+
 def test_large_book_is_cut_anywhere(book, want):
     scan = bind(opts.parse({"path": book}))
     assert len(scan.sheet.points) > 2 and len(scan.sheet.string_points) > 1
